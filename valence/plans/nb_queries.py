@@ -96,13 +96,16 @@ cnt AS (SELECT label, term, tf, count(*)::BIGINT AS c FROM ttf GROUP BY ALL),
 dfy AS (SELECT label, term, count(*)::BIGINT AS s FROM ttf GROUP BY ALL)"""
 
 
-def nb_pred_ctes(label="quality") -> str:
+def nb_pred_ctes(label="quality", extra="",
+                 tdocs="SELECT doc_id, label, tokens FROM lt WHERE NOT is_train") -> str:
     """Adds ``pred(doc_id, label, prediction, zero_factors, log_score)``:
-    the reference's dense product over the whole vocabulary, in logs."""
-    return nb_base_ctes(label) + """,
-tst AS (SELECT doc_id, label FROM lt WHERE NOT is_train),
+    the reference's dense product over the whole vocabulary, in logs.
+    ``tdocs`` selects the documents to score ``(doc_id, label, tokens)``;
+    ``extra`` adds CTEs it may need."""
+    return nb_base_ctes(label) + extra + f""",
+tst AS ({tdocs}),
 qtf AS (SELECT doc_id, term, count(*)::BIGINT AS tf
-        FROM (SELECT doc_id, unnest(tokens) AS term FROM lt WHERE NOT is_train) x GROUP BY ALL),
+        FROM (SELECT doc_id, unnest(tokens) AS term FROM tst) x GROUP BY ALL),
 grid AS (SELECT q.doc_id, c.label AS label_c, c.n, v.term, coalesce(qtf.tf, 0) AS x
          FROM tst q CROSS JOIN cls c CROSS JOIN v
          LEFT JOIN qtf ON qtf.doc_id = q.doc_id AND qtf.term = v.term),
