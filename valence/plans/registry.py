@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from valence.plans import feed_queries, knn_queries, nb_queries, text_queries
+from valence.plans import feed_queries, knn_queries, linear_queries, nb_queries, text_queries
 
-_MODULES = (text_queries, nb_queries, knn_queries, feed_queries)
+_MODULES = (text_queries, nb_queries, knn_queries, feed_queries, linear_queries)
 
 
 def queries() -> dict:
