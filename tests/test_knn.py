@@ -1,0 +1,75 @@
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from valence.operators import knn as K
+from valence.plans.prepare import train_test
+from conftest import SF_SMALL
+
+
+def _brute_knn(train, test, k):
+    """train/test: lists of (id, label, words). Dense full matrix."""
+    vocab = sorted({w for _, _, ws in train for w in ws})
+    idx = {w: i + 1 for i, w in enumerate(vocab)}   # 0 pools unknown words
+
+    def vec(ws):
+        v = np.zeros(len(vocab) + 1)
+        for w, c in Counter(ws).items():
+            v[idx.get(w, 0)] += c
+        return v
+
+    T = np.array([vec(ws) for _, _, ws in train])
+    out = {}
+    for qid, _, ws in test:
+        d2 = ((T - vec(ws)) ** 2).sum(axis=1)
+        order = sorted(range(len(train)), key=lambda j: (d2[j], train[j][0]))[:k]
+        labels = [train[j][1] for j in order]
+        c = Counter(labels)
+        out[qid] = min(c, key=lambda y: (-c[y], y))
+    return out
+
+
+def test_sparse_knn_matches_brute_force_with_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(K, "Q_BLOCK_ROWS", 4)
+    monkeypatch.setattr(K, "T_BLOCK_ROWS", 7)
+    monkeypatch.setattr(K, "TERM_CHUNK", 64)
+    train, test = train_test(spark, SF_SMALL, "en")
+    model = K.fit(train.select("doc_id", "label", "words"))
+    q = K.sparse_vectors(test.select("doc_id", "words"), model.vocab).withColumnRenamed("id", "q_id")
+    nb = K.neighbours(q, model.vectors, 10, q_block_rows=4, t_block_rows=7)
+    pred = {r.q_id: r.prediction for r in K.vote(nb).collect()}
+    tr = [(r.doc_id, r.label, r.words) for r in train.collect()]
+    te = [(r.doc_id, r.label, r.words) for r in test.collect()]
+    assert pred == _brute_knn(tr, te, 10)
+
+
+def test_equal_distance_smaller_id_first(spark):
+    tr = spark.createDataFrame([(5, 1, ["a"]), (3, 0, ["b"]), (9, 1, ["c", "c", "c"])],
+                               "doc_id long, label int, words array<string>")
+    te = spark.createDataFrame([(1, 0, ["d"])], "doc_id long, label int, words array<string>")
+    model = K.fit(tr)
+    q = K.sparse_vectors(te.select("doc_id", "words"), model.vocab).withColumnRenamed("id", "q_id")
+    nb = K.neighbours(q, model.vectors, 1).collect()
+    assert [r.t_id for r in nb] == [3]
+
+
+def test_vote_tie_goes_to_smaller_label(spark):
+    rows = [(1, i, i % 2, float(i)) for i in range(10)]
+    nb = spark.createDataFrame(rows, "q_id long, t_id long, t_label int, d2 double")
+    assert K.vote(nb).first().prediction == 0
+
+
+def test_dense_knn_matches_numpy(spark):
+    rng = np.random.default_rng(0)
+    tv, qv = rng.normal(size=(40, 8)), rng.normal(size=(9, 8))
+    tl = rng.integers(0, 4, size=40)
+    train = spark.createDataFrame([(i, tv[i].tolist(), int(tl[i])) for i in range(40)],
+                                  "id long, vec array<double>, label int")
+    test = spark.createDataFrame([(100 + i, qv[i].tolist()) for i in range(9)], "id long, vec array<double>")
+    got = {r.id: r.prediction for r in K.predict_dense(test, train, 5).collect()}
+    for i in range(9):
+        d2 = np.round(((tv - qv[i]) ** 2).sum(axis=1), 9)
+        order = sorted(range(40), key=lambda j: (d2[j], j))[:5]
+        c = Counter(int(tl[j]) for j in order)
+        assert got[100 + i] == min(c, key=lambda y: (-c[y], y))

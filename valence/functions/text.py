@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from valence.functions.stopwords import ENGLISH_STOP_WORDS
 
-# The cleaning patterns.
+# The cleaning patterns. Java's POSIX class \p{Alnum} is ASCII
+# [a-zA-Z0-9] (no UNICODE_CHARACTER_CLASS flag), so \P{Alnum}+ means the
+# same as [^0-9A-Za-z]+ and runs several times faster on accented text.
 MENTION_PATTERN = "@[a-zA-Z0-9]+"
-NON_ALNUM_PATTERN = "[^0-9A-Za-z]+"
+NON_ALNUM_PATTERN = r"\P{Alnum}+"
 URL_PATTERN = r"(?U)\w+://\S+"
 # Fixed value: RegexTokenizer pattern used by the reference (gaps on \W).
 TOKEN_GAP_PATTERN = r"\W"

@@ -47,22 +47,29 @@ class NBModel:
                      for name in ("classes", "likelihood", "class_terms", "vocab")))
 
 
-def doc_term_counts(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
-                    keep=("label",)) -> DataFrame:
-    """``(doc_id, [label], term_id, tf)`` for vocabulary words only.
-
-    Documents are hash-partitioned by ``doc_id`` once; counting terms per
-    document and every later per-document aggregation reuse that
-    partitioning, and the vocabulary side is a size-checked broadcast.
-    """
+def term_counts(docs: DataFrame, tokens_col: str = "tokens", keep=("label",)) -> DataFrame:
+    """``(doc_id, [label], term, tf)``. Documents are hash-partitioned by
+    ``doc_id`` once; counting terms per document and every later
+    per-document aggregation reuse that partitioning."""
     keep = [k for k in keep if k in docs.columns]
     exploded = (docs.repartition("doc_id")
                 .select("doc_id", *keep, F.explode(tokens_col).alias("term")))
-    tf = exploded.groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return exploded.groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def with_term_ids(tf: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Vocabulary words only, ``term`` replaced by ``term_id``; the
+    vocabulary side is a size-checked broadcast."""
     v = broadcast_if_small(vocab.select("term", "term_id"))
     return tf.join(v, "term").drop("term")
 
 
+def doc_term_counts(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
+                    keep=("label",)) -> DataFrame:
+    """``(doc_id, [label], term_id, tf)`` for vocabulary words only."""
+    return with_term_ids(term_counts(docs, tokens_col, keep), vocab)
+
+
 def class_priors(labels: DataFrame) -> DataFrame:
     """``(label, n, total, prior)``; the grand total is a scalar subquery."""
     total = labels.agg(F.count(F.lit(1))).scalar()
@@ -72,10 +79,13 @@ def class_priors(labels: DataFrame) -> DataFrame:
 
 
 def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
-        checkpoint: bool = True) -> NBModel:
-    """M3: ``train_docs(doc_id, label, tokens)`` and a vocabulary -> model."""
+        checkpoint: bool = True, train_tf: DataFrame | None = None) -> NBModel:
+    """M3: ``train_docs(doc_id, label, tokens)`` and a vocabulary -> model.
+    ``train_tf`` may pass precomputed ``term_counts`` of the same documents."""
     priors = class_priors(train_docs.select("label"))
-    tf = doc_term_counts(train_docs.select("doc_id", "label", tokens_col), vocab, tokens_col)
+    if train_tf is None:
+        train_tf = term_counts(train_docs.select("doc_id", "label", tokens_col), tokens_col)
+    tf = with_term_ids(train_tf, vocab)
     # A10: rows of class y whose word i has count v (v >= 1 only)
     counts = tf.groupBy("label", "term_id", "tf").agg(F.count(F.lit(1)).alias("c"))
     # one row per class; the class count is checked when the model is applied
@@ -104,8 +114,10 @@ def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
 def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """J3 + A11: ``(doc_id, label_c, zero_factors, log_score)`` for every
     document and class."""
-    keep = [c for c in ("doc_id",) if c in docs.columns]
-    tf = doc_term_counts(docs.select(*keep, tokens_col), model.vocab, tokens_col, keep=())
+    # read by three branches below; column pruning makes their plans differ,
+    # so the exchange would not be reused: compute the postings once
+    tf = doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
+                         keep=()).checkpoint(eager=True)
     ct = broadcast_if_small(model.class_terms.select("term_id", "label", "zero0", "log_l0"))
     lk = broadcast_if_small(model.likelihood.select("term_id", "tf", "label", "log_l"))
     # A: remove the value-0 factor of every present word (classes where it occurs)

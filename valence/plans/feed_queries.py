@@ -119,6 +119,20 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(sink).select("feed", "key")
 
 
+def q_stream_dedup_events(spark, sf):
+    """R1, bounded state: event-time de-duplication of (user, event type);
+    with a delay as long as the recency window every repeat is dropped."""
+    root = scratch_path(spark, "stream-events")
+    src = os.path.join(root, "events")
+    _events(spark, sf).repartition(4).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    sink = os.path.join(root, "dedup")
+    ingest.dedup_events(spark, stream, sink, os.path.join(root, "_checkpoint"),
+                        delay=f"{FD.RECENT_DAYS} days")
+    return spark.read.parquet(sink).select("user_id", "event_type")
+
+
 def q_stream_publish(spark, sf):
     root = scratch_path(spark, "stream-publish")
     src = os.path.join(root, "headlines")
@@ -144,6 +158,7 @@ QUERIES = {
     "publish_knn": q_publish_knn,
     "publish_nb_files": q_publish_nb_files,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_events": q_stream_dedup_events,
     "stream_publish": q_stream_publish,
 }
 
@@ -215,5 +230,6 @@ FROM (SELECT event_type, event_id,
     "publish_knn": _KNN_PUBLISH,
     "publish_nb_files": _NB_PUBLISH,
     "stream_dedup": _W + FEED_CTES + " SELECT DISTINCT feed, key FROM arts",
+    "stream_dedup_events": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_publish": _NB_PUBLISH,
 }

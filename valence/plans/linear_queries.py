@@ -30,7 +30,8 @@ def lin_inputs(spark, sf, label="en"):
 
     def feats(df):
         pooled = L.pooled_vectors(df.select("doc_id", "tokens"), vocab, vecs)
-        return pooled.join(df.select("doc_id", "label"), "doc_id")
+        # read by several optimiser passes: freeze once
+        return pooled.join(df.select("doc_id", "label"), "doc_id").checkpoint(eager=True)
 
     return feats, train_f, test_f, vocab, vecs
 

@@ -14,8 +14,11 @@ from valence.session import scratch_path
 
 def nb_model(spark, sf, label="quality"):
     train, test = train_test(spark, sf, label)
-    vocab = V.count_vectorizer_vocab(V.term_frequencies(train, "tokens"))
-    model = NB.fit(train.select("doc_id", "label", "tokens"), vocab)
+    # term counts of the training documents, computed once for the
+    # vocabulary and the model tables
+    train_tf = NB.term_counts(train.select("doc_id", "label", "tokens")).checkpoint(eager=True)
+    vocab = V.count_vectorizer_vocab(train_tf)
+    model = NB.fit(train.select("doc_id", "label", "tokens"), vocab, train_tf=train_tf)
     return model, test
 
 
