@@ -23,6 +23,7 @@ from valence.operators.guards import broadcast_if_small
 from valence.operators.ranking import global_row_number
 from valence.operators.split import hash_bucket
 from valence.operators.vocab import term_frequencies
+from valence.session import freeze
 
 # The reference's batch size and epoch count.
 BATCH_SIZE = 512
@@ -108,9 +109,9 @@ def epoch_history(train: DataFrame, valid: DataFrame, epochs: int = EPOCHS, run:
     loss and accuracy are unweighted means over batches of ``batch_size``
     rows, as the reference averages its per-batch values."""
     # the features are read by every epoch's fit and scoring: freeze them once
-    train, valid = train.checkpoint(eager=True), valid.checkpoint(eager=True)
-    tb = batch_ids(train.select("doc_id"), batch_size=batch_size).checkpoint(eager=True)
-    vb = batch_ids(valid.select("doc_id"), batch_size=batch_size).checkpoint(eager=True)
+    train, valid = freeze(train), freeze(valid)
+    tb = freeze(batch_ids(train.select("doc_id"), batch_size=batch_size))
+    vb = freeze(batch_ids(valid.select("doc_id"), batch_size=batch_size))
     out = None
     for e in range(1, epochs + 1):
         model = fit(train, max_iter=e)
@@ -122,5 +123,5 @@ def epoch_history(train: DataFrame, valid: DataFrame, epochs: int = EPOCHS, run:
                 F.lit(run).alias("run"), F.lit(split).alias("split"), F.lit(e).alias("epoch"),
                 "loss", "accuracy")
             out = h if out is None else out.unionByName(h)
-    return out.checkpoint(eager=True)
+    return freeze(out)
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valence.operators.guards import broadcast_if_small, class_array
+from valence.session import freeze
 
 
 @dataclass
@@ -81,34 +82,36 @@ def class_priors(labels: DataFrame) -> DataFrame:
 def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
         checkpoint: bool = True, train_tf: DataFrame | None = None) -> NBModel:
     """M3: ``train_docs(doc_id, label, tokens)`` and a vocabulary -> model.
-    ``train_tf`` may pass precomputed ``term_counts`` of the same documents."""
-    priors = class_priors(train_docs.select("label"))
+    ``train_tf`` may pass precomputed ``term_counts`` of the same documents.
+
+    Each model table is derived from the previous (frozen) one, so the
+    training postings are aggregated once: postings -> ``(label, term_id,
+    tf, c)`` -> per-class document frequency ``s`` -> per-class base."""
+    keep = freeze if checkpoint else (lambda df: df)
+    priors = keep(class_priors(train_docs.select("label")).select("label", "n", "prior"))
     if train_tf is None:
         train_tf = term_counts(train_docs.select("doc_id", "label", tokens_col), tokens_col)
     tf = with_term_ids(train_tf, vocab)
     # A10: rows of class y whose word i has count v (v >= 1 only)
-    counts = tf.groupBy("label", "term_id", "tf").agg(F.count(F.lit(1)).alias("c"))
+    counts = keep(tf.groupBy("label", "term_id", "tf").agg(F.count(F.lit(1)).alias("c")))
     # one row per class; the class count is checked when the model is applied
     b_n = F.broadcast(priors.select("label", "n"))
     lik = (counts.join(b_n, "label")
            .select("label", "term_id", "tf", "c", F.log(F.col("c") / F.col("n")).alias("log_l")))
     full = F.col("s") == F.col("n")
-    class_terms = (counts.groupBy("label", "term_id").agg(F.sum("c").alias("s"))
-                   .join(b_n, "label")
-                   .select("label", "term_id", "s", full.cast("int").alias("zero0"),
-                           F.when(full, F.lit(0.0))
-                           .otherwise(F.log((F.col("n") - F.col("s")) / F.col("n"))).alias("log_l0")))
+    class_terms = keep(counts.groupBy("label", "term_id").agg(F.sum("c").alias("s"))
+                       .join(b_n, "label")
+                       .select("label", "term_id", "s", full.cast("int").alias("zero0"),
+                               F.when(full, F.lit(0.0))
+                               .otherwise(F.log((F.col("n") - F.col("s")) / F.col("n"))).alias("log_l0")))
     base = class_terms.groupBy("label").agg(F.sum("zero0").alias("base_zero"),
                                             F.sum("log_l0").alias("base_log"))
-    classes = (priors.join(base, "label", "left")
-               .select("label", "n", "prior", F.log("prior").alias("log_prior"),
-                       F.coalesce("base_zero", F.lit(0)).cast("bigint").alias("base_zero"),
-                       F.coalesce("base_log", F.lit(0.0)).alias("base_log")))
-    model = NBModel(classes, lik, class_terms, vocab.select("term", "term_id"))
-    if checkpoint:
-        model = NBModel(*(t.checkpoint(eager=True) for t in
-                          (model.classes, model.likelihood, model.class_terms, model.vocab)))
-    return model
+    classes = keep(priors.join(base, "label", "left")
+                   .select("label", "n", "prior", F.log("prior").alias("log_prior"),
+                           F.coalesce("base_zero", F.lit(0)).cast("bigint").alias("base_zero"),
+                           F.coalesce("base_log", F.lit(0.0)).alias("base_log")))
+    # the vocabulary is the caller's (already frozen) table
+    return NBModel(classes, lik, class_terms, vocab.select("term", "term_id"))
 
 
 def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -116,8 +119,8 @@ def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFr
     document and class."""
     # read by three branches below; column pruning makes their plans differ,
     # so the exchange would not be reused: compute the postings once
-    tf = doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
-                         keep=()).checkpoint(eager=True)
+    tf = freeze(doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
+                                keep=()))
     ct = broadcast_if_small(model.class_terms.select("term_id", "label", "zero0", "log_l0"))
     lk = broadcast_if_small(model.likelihood.select("term_id", "tf", "label", "log_l"))
     # A: remove the value-0 factor of every present word (classes where it occurs)

@@ -13,16 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from valence.session import ensure_checkpoint_dir
+from valence.session import freeze
 
 
 def global_row_number(df: DataFrame, order_cols, out_col: str = "rn") -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    frozen = (df.orderBy(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-              .checkpoint(eager=True))
+    frozen = freeze(df.orderBy(*order_cols)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_pos", F.monotonically_increasing_id()
+                                - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
     counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",

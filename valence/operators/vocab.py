@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from valence.operators.guards import broadcast_if_small
 from valence.operators.ranking import global_row_number
+from valence.session import freeze
 
 # The sequence model's specials, ids 0 and 1, and the
 # reference's minimum corpus frequency for that vocabulary.
@@ -56,7 +57,7 @@ def build_vocab(tf: DataFrame, max_size: int | None = None, min_count: int = 1,
         extra = spark.createDataFrame([(s, i, 0) for i, s in enumerate(specials)],
                                       "term string, term_id int, cnt bigint")
         vocab = extra.unionByName(vocab)
-    return vocab.checkpoint(eager=True) if checkpoint else vocab
+    return freeze(vocab) if checkpoint else vocab
 
 
 def count_vectorizer_vocab(tf: DataFrame, vocab_size: int = COUNT_VECTORIZER_VOCAB) -> DataFrame:

@@ -16,22 +16,22 @@ from valence.operators.split import validation_split
 from valence.plans import sql as S
 from valence.plans.feed_queries import _headline_docs, _kw
 from valence.plans.prepare import filtered_tokens, prepared, train_test
-from valence.session import scratch_path
 from valence.sources import sinks
 from valence.sources.feeds import articles
 from valence.sources.tables import table
+from valence.session import freeze, scratch_path
 
 
 def lin_inputs(spark, sf, label="en"):
     train, test = train_test(spark, sf, label)
     train_f, test_f = filtered_tokens(train), filtered_tokens(test)
     vocab = V.sequence_vocab(V.term_frequencies(train_f, "tokens"))
-    vecs = L.word_vectors(vocab, table(spark, sf, "embeddings")).checkpoint(eager=True)
+    vecs = freeze(L.word_vectors(vocab, table(spark, sf, "embeddings")))
 
     def feats(df):
         pooled = L.pooled_vectors(df.select("doc_id", "tokens"), vocab, vecs)
         # read by several optimiser passes: freeze once
-        return pooled.join(df.select("doc_id", "label"), "doc_id").checkpoint(eager=True)
+        return freeze(pooled.join(df.select("doc_id", "label"), "doc_id"))
 
     return feats, train_f, test_f, vocab, vecs
 

@@ -13,7 +13,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Session defaults: AQE re-plans joins and coalesces partitions at runtime,
 # skew-join splitting handles hot keys, and the UI server stays off.
@@ -69,3 +70,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "valence", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """Cut ``df``'s lineage with a reliable checkpoint in the shared folder.
+
+    The rows are persisted first: a checkpoint writes its files in a second
+    job after the first one has computed them, and without the cache that
+    second job computes everything again. The cache is dropped once the
+    files are written; the returned DataFrame reads only the checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
