@@ -15,7 +15,7 @@ from valence.operators.metrics import best_so_far
 from valence.operators.split import validation_split
 from valence.plans import sql as S
 from valence.plans.feed_queries import _headline_docs, _kw
-from valence.plans.prepare import filtered_tokens, prepared, train_test
+from valence.plans.prepare import filtered_tokens, prepared
 from valence.sources import sinks
 from valence.sources.feeds import articles
 from valence.sources.tables import table
@@ -23,8 +23,11 @@ from valence.session import freeze, scratch_path
 
 
 def lin_inputs(spark, sf, label="en"):
-    train, test = train_test(spark, sf, label)
-    train_f, test_f = filtered_tokens(train), filtered_tokens(test)
+    # the vocabulary and both feature sets read the tokens: run the text
+    # pipeline over the documents once and freeze its output
+    docs = freeze(filtered_tokens(prepared(spark, sf, label))
+                  .select("doc_id", "label", "tokens", "is_train"))
+    train_f, test_f = docs.filter("is_train"), docs.filter(~F.col("is_train"))
     vocab = V.sequence_vocab(V.term_frequencies(train_f, "tokens"))
     vecs = freeze(L.word_vectors(vocab, table(spark, sf, "embeddings")))
 

@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of frames the driver no longer references are removed
+    # from the shared folder instead of accumulating there
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
