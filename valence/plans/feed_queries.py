@@ -25,6 +25,9 @@ from valence.streaming import ingest
 # reference's own list of names is REFERENCE_KEYWORDS in operators/feeds.py).
 TEST_KEYWORDS = ("that", "was", "for", "with", "this", "are", "que", "anea", "der")
 SEEN_KEYWORDS = 4   # keywords of an earlier run whose headlines count as published
+# Stream sources are written by parallel tasks; files of at most this many
+# records become separate micro-batches.
+FILE_RECORDS = 64
 
 
 def _kw(spark):
@@ -113,7 +116,7 @@ def q_publish_nb_files(spark, sf):
 def q_stream_dedup(spark, sf):
     root = scratch_path(spark, "stream-dedup")
     src = os.path.join(root, "payloads")
-    payloads_from_tables(spark, sf).repartition(4).write.json(src)
+    payloads_from_tables(spark, sf).write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
     sink = os.path.join(root, "articles")
     ingest.dedup_articles(spark, src, sink, os.path.join(root, "_checkpoint"))
     return spark.read.parquet(sink).select("feed", "key")
@@ -124,7 +127,7 @@ def q_stream_dedup_events(spark, sf):
     with a delay as long as the recency window every repeat is dropped."""
     root = scratch_path(spark, "stream-events")
     src = os.path.join(root, "events")
-    _events(spark, sf).repartition(4).write.parquet(src)
+    _events(spark, sf).write.parquet(src)
     schema = spark.read.parquet(src).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     sink = os.path.join(root, "dedup")
@@ -136,7 +139,7 @@ def q_stream_dedup_events(spark, sf):
 def q_stream_publish(spark, sf):
     root = scratch_path(spark, "stream-publish")
     src = os.path.join(root, "headlines")
-    FD.headlines(articles(spark, sf), _kw(spark)).repartition(3).write.json(src)
+    FD.headlines(articles(spark, sf), _kw(spark)).write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
     model, _ = nb_model(spark, sf)
     sink = sinks.index_path(os.path.join(root, "out"))
     ingest.score_stream(spark, src, sink, os.path.join(root, "_checkpoint"),
@@ -178,8 +181,9 @@ arts AS (
                row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) - 1 AS idx
         FROM pages) b
   UNION ALL
-  SELECT 'C', conv_id || ':' || turn, conv_id * 1000000 + idx, text, text
-  FROM (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx
+  SELECT 'C', conv_id || ':' || turn, conv_id * 1000000 + first + idx, text, text
+  FROM (SELECT conv_id, turn, text, floor(turn / 100)::BIGINT * 100 AS first,
+               row_number() OVER (PARTITION BY conv_id, floor(turn / 100) ORDER BY turn) - 1 AS idx
         FROM conversations) c),
 kw AS ({_KW_SQL}),
 mt AS (SELECT arts.*, kw.kw_ord, kw.leader FROM arts JOIN kw

@@ -3,11 +3,14 @@
 Feed A ``{"articles": [{"title", "description"}]}`` keyed by title, feed B
 ``{"articles": {"results": [{"uri", "title"}]}}`` keyed by uri, feed C
 ``{"stories": [{"id", "title"}]}`` keyed by id. Each payload also carries
-its ``page`` number so article positions are stable.
+its ``page`` number and the offset ``first`` of its first item in that page,
+so article positions ``page * POS_STRIDE + first + index`` are stable.
 
 The live HTTP services are not available, so payloads are derived from the
-given tables in pages of bounded size (``PAGE_SIZE`` articles; a
-conversation is one page of turns) and parsed back with pinned schemas.
+given tables in pages of bounded size and parsed back with pinned schemas.
+Feeds A and B page by ``id // PAGE_SIZE``; feed C pages by conversation,
+and a conversation is cut into chunks of ``PAGE_SIZE`` turn numbers, so a
+very long conversation never becomes one unbounded payload.
 """
 
 from __future__ import annotations
@@ -21,20 +24,23 @@ from valence.sources.tables import table
 PAGE_SIZE = 100
 POS_STRIDE = 1_000_000
 
-# Pinned payload schemas (only the fields the reference reads, plus page).
+# Pinned payload schemas (only the fields the reference reads, plus page
+# and first).
 FEED_SCHEMAS = {
-    "A": "page BIGINT, articles ARRAY<STRUCT<title: STRING, description: STRING>>",
-    "B": "page BIGINT, articles STRUCT<results: ARRAY<STRUCT<uri: STRING, title: STRING>>>",
-    "C": "page BIGINT, stories ARRAY<STRUCT<id: STRING, title: STRING>>",
+    "A": "page BIGINT, first BIGINT, articles ARRAY<STRUCT<title: STRING, description: STRING>>",
+    "B": "page BIGINT, first BIGINT, articles STRUCT<results: ARRAY<STRUCT<uri: STRING, title: STRING>>>",
+    "C": "page BIGINT, first BIGINT, stories ARRAY<STRUCT<id: STRING, title: STRING>>",
 }
 
 
-def _paged(df: DataFrame, page: F.Column, order: F.Column, item: F.Column) -> DataFrame:
-    """One row per page with its items in order; a page holds a bounded
-    number of items, so no group grows with the table."""
-    return (df.groupBy(page.alias("page"))
+def _paged(df: DataFrame, page: F.Column, order: F.Column, item: F.Column,
+           first: F.Column | None = None) -> DataFrame:
+    """One row per ``(page, first)`` with its items in order. Every group
+    holds at most ``PAGE_SIZE`` items, so no group grows with the table."""
+    first = F.lit(0).cast("bigint") if first is None else first
+    return (df.groupBy(page.alias("page"), first.alias("first"))
             .agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), item.alias("i")))).alias("_a"))
-            .select("page", F.col("_a.i").alias("items")))
+            .select("page", "first", F.col("_a.i").alias("items")))
 
 
 def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,20 +52,21 @@ def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _paged(docs, F.floor(F.col("doc_id") / PAGE_SIZE).cast("bigint"), F.col("doc_id"),
                F.struct("title", "description"))
     a = a.select(F.lit("A").alias("feed"), "page",
-                 F.to_json(F.struct("page", F.col("items").alias("articles"))).alias("payload"))
+                 F.to_json(F.struct("page", "first", F.col("items").alias("articles"))).alias("payload"))
     pages = table(spark, sf_dir, "pages").select(
         "page_id", F.col("url").alias("uri"),
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
     b = _paged(pages, F.floor(F.col("page_id") / PAGE_SIZE).cast("bigint"), F.col("page_id"),
                F.struct("uri", "title"))
     b = b.select(F.lit("B").alias("feed"), "page",
-                 F.to_json(F.struct("page", F.struct(F.col("items").alias("results")).alias("articles")))
+                 F.to_json(F.struct("page", "first", F.struct(F.col("items").alias("results")).alias("articles")))
                  .alias("payload"))
     conv = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("title"))
-    c = _paged(conv, F.col("conv_id"), F.col("turn"), F.struct("id", "title"))
+    chunk_first = (F.floor(F.col("turn") / PAGE_SIZE) * PAGE_SIZE).cast("bigint")
+    c = _paged(conv, F.col("conv_id"), F.col("turn"), F.struct("id", "title"), chunk_first)
     c = c.select(F.lit("C").alias("feed"), "page",
-                 F.to_json(F.struct("page", F.col("items").alias("stories"))).alias("payload"))
+                 F.to_json(F.struct("page", "first", F.col("items").alias("stories"))).alias("payload"))
     return a.unionByName(b).unionByName(c)
 
 
@@ -71,19 +78,20 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
         p = (payloads.filter(F.col("feed") == feed)
              .select(F.from_json("payload", schema).alias("j")).select("j.*"))
         if feed == "A":
-            items = p.select("page", F.posexplode("articles").alias("idx", "a")).select(
-                "page", "idx", F.col("a.title").alias("key"), F.col("a.title").alias("title"),
+            items = p.select("page", "first", F.posexplode("articles").alias("idx", "a")).select(
+                "page", "first", "idx", F.col("a.title").alias("key"), F.col("a.title").alias("title"),
                 title_with_description("a.title", "a.description").alias("text"))
         elif feed == "B":
-            items = p.select("page", F.posexplode("articles.results").alias("idx", "a")).select(
-                "page", "idx", F.col("a.uri").alias("key"), F.col("a.title").alias("title"),
+            items = p.select("page", "first", F.posexplode("articles.results").alias("idx", "a")).select(
+                "page", "first", "idx", F.col("a.uri").alias("key"), F.col("a.title").alias("title"),
                 F.col("a.title").alias("text"))
         else:
-            items = p.select("page", F.posexplode("stories").alias("idx", "a")).select(
-                "page", "idx", F.col("a.id").alias("key"), F.col("a.title").alias("title"),
+            items = p.select("page", "first", F.posexplode("stories").alias("idx", "a")).select(
+                "page", "first", "idx", F.col("a.id").alias("key"), F.col("a.title").alias("title"),
                 F.col("a.title").alias("text"))
         items = items.select(F.lit(feed).alias("feed"), "key",
-                             (F.col("page") * POS_STRIDE + F.col("idx")).alias("pos"), "title", "text")
+                             (F.col("page") * POS_STRIDE + F.coalesce("first", F.lit(0)) + F.col("idx"))
+                             .alias("pos"), "title", "text")
         out = items if out is None else out.unionByName(items)
     return out
 
