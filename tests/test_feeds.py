@@ -62,3 +62,30 @@ def test_null_description_gives_title(spark):
         "feed string, page long, payload string")
     got = {r.key: r.text for r in parse_payloads(p).collect()}
     assert got == {"t": "t", "u": "u d"}
+
+
+def test_newest_pages_equal_single_pages(spark):
+    rows = [(i, f"t{i % 3}", i * 7 % 11, f"e{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, g string, ts long, name string")
+    both = FD.newest_pages(df, "g", "ts", "id", 4, 2)
+    for page in (1, 2):
+        one = {(r.g, r.rank, r.id) for r in FD.newest_page(df, "g", "ts", "id", 4, page).collect()}
+        got = {(r.g, r.rank, r.id) for r in both.filter(F.col("page") == page).collect()}
+        assert got == one and len(one) == 12
+
+
+def test_long_conversation_pages_stay_bounded(spark):
+    """Feed C payloads hold at most PAGE_SIZE stories, and positions follow
+    the turn order across chunks."""
+    from valence.sources import feeds as SF
+    conv = spark.createDataFrame([(7, t, f"turn {t}") for t in range(250)],
+                                 "conv_id long, turn long, text string")
+    first = (F.floor(F.col("turn") / SF.PAGE_SIZE) * SF.PAGE_SIZE).cast("bigint")
+    paged = SF._paged(conv.withColumn("id", F.concat_ws(":", "conv_id", "turn")).withColumnRenamed("text", "title"),
+                      F.col("conv_id"), F.col("turn"), F.struct("id", "title"), first)
+    sizes = sorted(r[0] for r in paged.select(F.size("items")).collect())
+    assert sizes == [50, 100, 100]
+    payloads = paged.select(F.lit("C").alias("feed"), "page",
+                            F.to_json(F.struct("page", "first", F.col("items").alias("stories"))).alias("payload"))
+    arts = parse_payloads(payloads).select("key", "pos").collect()
+    assert sorted((r.pos, r.key) for r in arts) == [(7 * SF.POS_STRIDE + t, f"7:{t}") for t in range(250)]

@@ -107,6 +107,15 @@ def newest_page(df: DataFrame, group_col: str, ts_col: str, id_col: str, n: int
             .filter((F.col("rank") > lo) & (F.col("rank") <= hi)))
 
 
+def newest_pages(df: DataFrame, group_col: str, ts_col: str, id_col: str, n: int = 10,
+                 pages: int = 1) -> DataFrame:
+    """T3 for pages ``1..pages`` in one pass: ``rank`` and its ``page``."""
+    w = Window.partitionBy(group_col).orderBy(F.desc(ts_col), F.asc(id_col))
+    return (df.withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= pages * n)
+            .withColumn("page", ((F.col("rank") - 1) / n).cast("int") + 1))
+
+
 def source_filter(docs: DataFrame, lang: str = "en", sources=("src1", "src3")) -> DataFrame:
     """Language and source predicates (pushed into the parquet scan)."""
     return docs.filter((F.col("lang") == lang) & F.col("source").isin(list(sources)))

@@ -78,9 +78,8 @@ def q_events_recent(spark, sf):
 
 def q_events_newest_page(spark, sf):
     e = _events(spark, sf)
-    p1 = FD.newest_page(e, "event_type", "ts", "event_id", 10, 1).withColumn("page", F.lit(1))
-    p2 = FD.newest_page(e, "event_type", "ts", "event_id", 10, 2).withColumn("page", F.lit(2))
-    return p1.unionByName(p2).select("event_type", "page", F.col("rank").cast("int").alias("rank"), "event_id")
+    p = FD.newest_pages(e, "event_type", "ts", "event_id", 10, 2)
+    return p.select("event_type", "page", F.col("rank").cast("int").alias("rank"), "event_id")
 
 
 def _headline_docs(h):
