@@ -3,29 +3,33 @@
 ``row_number().over(Window.orderBy(...))`` moves every row into one task.
 Here the rows are range-partitioned and sorted by Spark (balanced by
 sampling), each row's partition index and position are frozen by a
-checkpoint in the shared checkpoint folder, and a per-partition offset table
-(one row per partition, so its size is bounded by the partition count) is
-broadcast back. The result is the exact 1-based row number.
+checkpoint in the shared checkpoint folder, and the offset of each partition
+is added back. The offsets table has one row per partition, so its size is
+bounded by the partition count and not by the data; it is built on the
+driver from the per-partition counts and broadcast. The result is the exact
+1-based row number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valence.session import freeze
 
 
 def global_row_number(df: DataFrame, order_cols, out_col: str = "rn") -> DataFrame:
+    spark = df.sparkSession
     frozen = freeze(df.orderBy(*order_cols)
                     .withColumn("_pid", F.spark_partition_id())
                     .withColumn("_pos", F.monotonically_increasing_id()
                                 - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    counts = sorted(tuple(r) for r in frozen.groupBy("_pid").agg(F.count(F.lit(1))).collect())
+    rows, run = [], 0
+    for pid, n in counts:
+        rows.append((pid, run))
+        run += n
+    offsets = spark.createDataFrame(rows or [(0, 0)], "_pid int, _off bigint")
     return (frozen.join(F.broadcast(offsets), "_pid")
             .withColumn(out_col, F.col("_off") + F.col("_pos") + 1)
             .drop("_pid", "_pos", "_off"))

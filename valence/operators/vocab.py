@@ -40,12 +40,14 @@ def corpus_counts(tf: DataFrame) -> DataFrame:
 
 
 def build_vocab(tf: DataFrame, max_size: int | None = None, min_count: int = 1,
-                specials: tuple = (), checkpoint: bool = True) -> DataFrame:
+                specials: tuple = (), checkpoint: bool = False) -> DataFrame:
     """``(term, term_id, cnt)``.
 
     Terms with ``cnt >= min_count`` are numbered by ``(cnt desc, term)``;
     ``max_size`` keeps the first ones (a count vectoriser's vocabulary size).
-    ``specials`` take ids ``0..len-1`` and shift the others.
+    ``specials`` take ids ``0..len-1`` and shift the others. The ranked rows
+    are already frozen by the row numbering, so the vocabulary is a cheap
+    projection of that checkpoint; ``checkpoint=True`` freezes it again.
     """
     counts = corpus_counts(tf).filter(F.col("cnt") >= min_count).select("term", "cnt")
     ranked = global_row_number(counts, [F.desc("cnt"), F.asc("term")], "rn")

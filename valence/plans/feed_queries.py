@@ -27,7 +27,7 @@ TEST_KEYWORDS = ("that", "was", "for", "with", "this", "are", "que", "anea", "de
 SEEN_KEYWORDS = 4   # keywords of an earlier run whose headlines count as published
 # Stream sources are written by parallel tasks; files of at most this many
 # records become separate micro-batches.
-FILE_RECORDS = 64
+FILE_RECORDS = 256
 
 
 def _kw(spark):
@@ -117,7 +117,7 @@ def q_stream_dedup(spark, sf):
     src = os.path.join(root, "payloads")
     payloads_from_tables(spark, sf).write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
     sink = os.path.join(root, "articles")
-    ingest.dedup_articles(spark, src, sink, os.path.join(root, "_checkpoint"))
+    ingest.dedup_articles(spark, src, sink, os.path.join(root, "_checkpoint"), files_per_batch=2)
     return spark.read.parquet(sink).select("feed", "key")
 
 
