@@ -24,9 +24,13 @@ from valence.session import freeze, scratch_path
 
 def lin_inputs(spark, sf, label="en"):
     # the vocabulary and both feature sets read the tokens: run the text
-    # pipeline over the documents once and freeze its output
-    docs = freeze(filtered_tokens(prepared(spark, sf, label))
-                  .select("doc_id", "label", "tokens", "is_train"))
+    # pipeline over the documents once and freeze its output. The
+    # empty-document filter (P6) goes after the freeze: placed before it,
+    # Catalyst would inline the whole tokeniser into the pushed-down filter
+    # and run it twice per document.
+    docs = freeze(prepared(spark, sf, label).select(
+        "doc_id", "label", remove_stop_words("tokens").alias("tokens"), "is_train"))
+    docs = docs.filter(F.size("tokens") > 0)
     train_f, test_f = docs.filter("is_train"), docs.filter(~F.col("is_train"))
     vocab = V.sequence_vocab(V.term_frequencies(train_f, "tokens"))
     vecs = freeze(L.word_vectors(vocab, table(spark, sf, "embeddings")))
