@@ -46,11 +46,13 @@ def match_keywords(arts: DataFrame, keywords: DataFrame, strategy: str = "auto")
     of each article's distinct words with each keyword's first word, then the
     phrase test; it scales to any number of keywords. ``"auto"`` picks
     broadcast when the keyword table has at most ``MAX_BROADCAST_KEYWORDS``
-    rows.
+    rows, and ``"broadcast"`` also falls back to the equi-join above that.
     """
     a = arts.withColumn("_clean", clean_text("text"))
-    if strategy == "auto":
-        strategy = "broadcast" if keywords.count() <= MAX_BROADCAST_KEYWORDS else "tokens"
+    if strategy in ("auto", "broadcast") and keywords.count() > MAX_BROADCAST_KEYWORDS:
+        strategy = "tokens"     # too many keywords to broadcast: equi-join instead
+    elif strategy == "auto":
+        strategy = "broadcast"
     if strategy == "broadcast":
         m = a.join(F.broadcast(keywords), _phrase_in(F.col("_clean"), F.col("leader")))
     else:

@@ -16,7 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from valence.operators.guards import broadcast_if_small
@@ -93,9 +93,11 @@ def batch_ids(docs: DataFrame, seed=100, batch_size: int = BATCH_SIZE) -> DataFr
 
 
 def pad_batches(batched: DataFrame, ids_col: str = "ids", pad_id: int = 1) -> DataFrame:
-    """pad every id sequence to the longest sequence of its batch."""
-    longest = batched.groupBy("batch").agg(F.max(F.size(ids_col)).alias("_max"))
-    return (batched.join(F.broadcast(longest), "batch")
+    """pad every id sequence to the longest sequence of its batch. The
+    maximum is a window over the batch, which holds at most ``BATCH_SIZE``
+    rows; nothing that grows with the data is broadcast."""
+    longest = F.max(F.size(ids_col)).over(Window.partitionBy("batch"))
+    return (batched.withColumn("_max", longest)
             .withColumn("padded", F.concat(F.col(ids_col), F.array_repeat(
                 F.lit(pad_id), F.col("_max") - F.size(ids_col))))
             .drop("_max"))

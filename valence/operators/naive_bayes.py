@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valence.operators.guards import broadcast_if_small, class_array
+from valence.operators.guards import MAX_CLASSES, broadcast_if_small, class_array
 from valence.session import freeze
 
 
@@ -94,8 +94,8 @@ def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
     tf = with_term_ids(train_tf, vocab)
     # A10: rows of class y whose word i has count v (v >= 1 only)
     counts = keep(tf.groupBy("label", "term_id", "tf").agg(F.count(F.lit(1)).alias("c")))
-    # one row per class; the class count is checked when the model is applied
-    b_n = F.broadcast(priors.select("label", "n"))
+    # one row per class: broadcast only while the class count is bounded
+    b_n = broadcast_if_small(priors.select("label", "n"), MAX_CLASSES)
     lik = (counts.join(b_n, "label")
            .select("label", "term_id", "tf", "c", F.log(F.col("c") / F.col("n")).alias("log_l")))
     full = F.col("s") == F.col("n")
@@ -134,8 +134,8 @@ def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFr
     # G: one row per (document, class): class base + one assumed miss per present word
     present = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
     labels = class_array(model.classes, "label")
-    base = F.broadcast(model.classes.select(F.col("label").alias("label_c"), "log_prior",
-                                            "base_zero", "base_log"))
+    base = broadcast_if_small(model.classes.select(F.col("label").alias("label_c"), "log_prior",
+                                                   "base_zero", "base_log"), MAX_CLASSES)
     g_rows = (docs.select("doc_id").join(present, "doc_id", "left")
               .select("doc_id", F.coalesce("m", F.lit(0)).alias("m"),
                       F.explode(labels).alias("label_c"))
@@ -214,7 +214,7 @@ def likelihood_table(model: NBModel) -> DataFrame:
     values = seen.unionByName(zero)
     labels = class_array(model.classes, "label")
     grid = values.select("term_id", "value", F.explode(labels).alias("label"))
-    n = F.broadcast(model.classes.select("label", "n"))
+    n = broadcast_if_small(model.classes.select("label", "n"), MAX_CLASSES)
     pos = model.likelihood.select("label", "term_id", F.col("tf").alias("value"), "c")
     s = model.class_terms.select("label", "term_id", "s")
     return (grid.join(n, "label")
