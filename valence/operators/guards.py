@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a model or dimension table may have and still be broadcast
-# (a few tens of MB for the narrow tables broadcast here).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bytes a broadcast table may take, and the row width assumed for the narrow
+# tables (a few ids, counts and a short word) broadcast here.
+BROADCAST_BYTES = 64 << 20
+NARROW_ROW_BYTES = 32
+DEFAULT_BROADCAST_ROWS = BROADCAST_BYTES // NARROW_ROW_BYTES
 # Distinct classes a classifier may have; the class list is expanded per row.
 MAX_CLASSES = 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows; otherwise
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       row_bytes: int = NARROW_ROW_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows (default:
+    as many rows of ``row_bytes`` as fit in ``BROADCAST_BYTES``); otherwise
     leave it to a shuffle join (AQE may still convert it at runtime).
     Callers pass checkpointed or persisted tables, so the count is cheap."""
+    limit = BROADCAST_BYTES // max(1, row_bytes)
+    if max_rows is not None:
+        limit = min(limit, max_rows)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= limit else df
 
 
 def bounded_array(arr: Column, limit: int, what: str) -> Column:

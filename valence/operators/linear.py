@@ -45,9 +45,10 @@ def pooled_vectors(docs: DataFrame, vocab: DataFrame, vectors: DataFrame,
     """``(doc_id, features)``, the mean token vector of each document."""
     tf = term_frequencies(docs.repartition("doc_id"), tokens_col)
     v = broadcast_if_small(vocab.select("term", "term_id"))
-    vec = broadcast_if_small(vectors)
     if dim is None:
         dim = vectors.select(F.size("vec")).first()[0]
+    # one float array per word: the broadcast bound counts its width
+    vec = broadcast_if_small(vectors, row_bytes=4 * dim + 16)
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     rows = (tf.join(v, "term", "left").join(vec, "term_id", "left")
             .select("doc_id", F.col("tf").cast("double").alias("w"),
