@@ -44,8 +44,9 @@ def lin_inputs(spark, sf, label="en"):
 
 
 def q_pooled_vectors(spark, sf):
-    feats, train_f, test_f, _, _ = lin_inputs(spark, sf)
-    f = feats(train_f.unionByName(test_f))
+    _, train_f, test_f, vocab, vecs = lin_inputs(spark, sf)
+    # read once below: no freeze of the pooled features
+    f = L.pooled_vectors(train_f.unionByName(test_f).select("doc_id", "tokens"), vocab, vecs)
     return f.select("doc_id", F.posexplode(vector_to_array("features")).alias("dim", "value")).select(
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
 
