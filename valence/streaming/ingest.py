@@ -27,9 +27,22 @@ from pyspark.sql import functions as F
 from valence.sources.feeds import parse_payloads
 
 PAYLOAD_SCHEMA = "feed STRING, page BIGINT, payload STRING"
+_STATE_KEY = "spark.sql.streaming.stateStore.providerClass"
+_HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HEADLINE_SCHEMA = "feed STRING, key STRING, kw_ord INT, leader STRING, pos BIGINT, text STRING"
 
 
+def _disk_backed_state(spark: SparkSession) -> None:
+    """De-duplication state grows with the number of distinct keys. The
+    default provider keeps all of it on the executor heap; RocksDB keeps it
+    on local disk with a bounded memory footprint. A stream records its
+    provider in its checkpoint, so a restarted stream keeps the one it began
+    with."""
+    if spark.conf.get(_STATE_KEY) == _HEAP_STORE:
+        spark.conf.set(_STATE_KEY, _ROCKSDB_STORE)
+
+
 def _run(writer, checkpoint: str):
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -44,6 +57,7 @@ def dedup_articles(spark: SparkSession, source: str, sink: str, checkpoint: str,
          .option("maxFilesPerTrigger", files_per_batch).json(source))
     arts = parse_payloads(s).select("feed", "key", "pos", "text")
     d = arts.dropDuplicates(["feed", "key"])
+    _disk_backed_state(spark)
     _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
 
@@ -52,6 +66,7 @@ def dedup_events(spark: SparkSession, source_df: DataFrame, sink: str, checkpoin
     """R1 (bounded): event-time de-duplication whose state expires with the
     watermark."""
     d = source_df.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+    _disk_backed_state(spark)
     _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
 
