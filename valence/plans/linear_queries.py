@@ -15,7 +15,7 @@ from valence.operators.metrics import best_so_far
 from valence.operators.split import validation_split
 from valence.plans import sql as S
 from valence.plans.feed_queries import _headline_docs, _kw
-from valence.plans.prepare import filtered_tokens, prepared
+from valence.plans.prepare import filtered_tokens, prepared, without_stop_words
 from valence.sources import sinks
 from valence.sources.feeds import articles
 from valence.sources.tables import table
@@ -76,7 +76,8 @@ def q_linear_epochs(spark, sf):
 
 
 def q_batch_padding(spark, sf):
-    df = filtered_tokens(prepared(spark, sf, "en"))
+    # documents left without tokens vanish in the encoding's explode
+    df = without_stop_words(prepared(spark, sf, "en"))
     train_f = df.filter("is_train")
     vocab = V.sequence_vocab(V.term_frequencies(train_f, "tokens"))
     enc = V.encode_sequence(df.select("doc_id", "tokens"), vocab)

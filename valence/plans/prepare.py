@@ -34,8 +34,16 @@ def train_test(spark: SparkSession, sf_dir: str, label: str = "quality"):
     return df.filter("is_train"), df.filter(~F.col("is_train"))
 
 
+def without_stop_words(df: DataFrame) -> DataFrame:
+    """Stop words removed, no row dropped. For consumers that explode the
+    tokens (term counts, sequence encoding) this gives the same result as
+    ``filtered_tokens``, because an empty list explodes to no rows. Leaving
+    the filter out also keeps Catalyst from inlining the whole tokeniser into
+    a pushed-down filter, where it would run a second time."""
+    return df.withColumn("tokens", remove_stop_words("tokens"))
+
+
 def filtered_tokens(df: DataFrame) -> DataFrame:
     """Stop words removed, empty token lists dropped (P6), as the sequence
     model's preparation does."""
-    return (df.withColumn("tokens", remove_stop_words("tokens"))
-            .filter(F.size("tokens") > 0))
+    return without_stop_words(df).filter(F.size("tokens") > 0)

@@ -9,7 +9,7 @@ from valence.functions.text import (clean_text, join_tokens, remove_stop_words,
 from valence.operators import vocab as V
 from valence.operators.split import random_split, validation_split
 from valence.plans import sql as S
-from valence.plans.prepare import filtered_tokens, prepared, train_test
+from valence.plans.prepare import prepared, train_test, without_stop_words
 from valence.session import scratch_path
 from valence.sources.csv import read_labelled_csv, read_labelled_csv_strings, write_csv
 from valence.sources.tables import labelled_polarity, table
@@ -103,13 +103,13 @@ def q_vocab_top1000(spark, sf):
 
 def q_vocab_minfreq(spark, sf):
     train, _ = train_test(spark, sf)
-    return V.sequence_vocab(V.term_frequencies(filtered_tokens(train), "tokens"))
+    return V.sequence_vocab(V.term_frequencies(without_stop_words(train), "tokens"))
 
 
 def q_encode_ids(spark, sf):
     train, test = train_test(spark, sf)
-    vocab = V.sequence_vocab(V.term_frequencies(filtered_tokens(train), "tokens"))
-    docs = filtered_tokens(test)
+    vocab = V.sequence_vocab(V.term_frequencies(without_stop_words(train), "tokens"))
+    docs = without_stop_words(test)
     enc = V.encode_sequence(docs, vocab)
     return enc.select("doc_id", F.concat_ws(",", "ids").alias("ids_str"),
                       F.size(F.filter("ids", lambda x: x == 0)).cast("bigint").alias("n_unk"))
