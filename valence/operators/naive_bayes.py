@@ -114,9 +114,11 @@ def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
     return NBModel(classes, lik, class_terms, vocab.select("term", "term_id"))
 
 
-def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """J3 + A11: ``(doc_id, label_c, zero_factors, log_score)`` for every
-    document and class."""
+def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens", carry=()) -> DataFrame:
+    """J3 + A11: ``(doc_id, label_c, zero_factors, log_score, *carry)`` for
+    every document and class. ``carry`` names per-document columns (such as
+    the true label) that ride along through the aggregation, so no join back
+    to ``docs`` is needed."""
     # read by three branches below; column pruning makes their plans differ,
     # so the exchange would not be reused: compute the postings once
     tf = freeze(doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
@@ -124,46 +126,48 @@ def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFr
     ct = broadcast_if_small(model.class_terms.select("term_id", "label", "zero0", "log_l0"))
     lk = broadcast_if_small(model.likelihood.select("term_id", "tf", "label", "log_l"))
     # A: remove the value-0 factor of every present word (classes where it occurs)
+    nulls = [F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry]
     a_rows = tf.join(ct, "term_id").select(
         "doc_id", F.col("label").alias("label_c"),
-        (-F.col("zero0")).alias("dz"), (-F.col("log_l0")).alias("dl"))
+        (-F.col("zero0")).alias("dz"), (-F.col("log_l0")).alias("dl"), *nulls)
     # B: the observed-count factor; a miss is a zero factor, a hit cancels it
     b_rows = tf.join(lk, ["term_id", "tf"]).select(
         "doc_id", F.col("label").alias("label_c"),
-        F.lit(-1).alias("dz"), F.col("log_l").alias("dl"))
+        F.lit(-1).alias("dz"), F.col("log_l").alias("dl"), *nulls)
     # G: one row per (document, class): class base + one assumed miss per present word
     present = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
     labels = class_array(model.classes, "label")
     base = broadcast_if_small(model.classes.select(F.col("label").alias("label_c"), "log_prior",
                                                    "base_zero", "base_log"), MAX_CLASSES)
-    g_rows = (docs.select("doc_id").join(present, "doc_id", "left")
-              .select("doc_id", F.coalesce("m", F.lit(0)).alias("m"),
+    g_rows = (docs.select("doc_id", *carry).join(present, "doc_id", "left")
+              .select("doc_id", *carry, F.coalesce("m", F.lit(0)).alias("m"),
                       F.explode(labels).alias("label_c"))
               .join(base, "label_c")
               .select("doc_id", "label_c",
                       (F.col("base_zero") + F.col("m")).alias("dz"),
-                      (F.col("log_prior") + F.col("base_log")).alias("dl")))
+                      (F.col("log_prior") + F.col("base_log")).alias("dl"), *carry))
+    # the carried values exist on the G rows only; max() skips the nulls
     return (g_rows.unionByName(a_rows).unionByName(b_rows)
             .groupBy("doc_id", "label_c")
-            .agg(F.sum("dz").cast("bigint").alias("zero_factors"), F.sum("dl").alias("log_score")))
+            .agg(F.sum("dz").cast("bigint").alias("zero_factors"), F.sum("dl").alias("log_score"),
+                 *[F.max(c).alias(c) for c in carry]))
 
 
 def predict(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """M4 + A12: ``(doc_id, [label], prediction DOUBLE, zero_factors, log_score)``
     for the winning class."""
-    scores = score(model, docs, tokens_col)
+    carry = [c for c in ("label",) if c in docs.columns]
+    scores = score(model, docs, tokens_col, carry)
     ok = F.col("zero_factors") == 0
     key = F.struct(ok.alias("ok"),
                    F.when(ok, F.round("log_score", 9)).otherwise(F.lit(0.0)).alias("ls"),
                    (-F.col("label_c")).alias("neg"))
-    best = (scores.groupBy("doc_id")
-            .agg(F.max_by(F.struct("label_c", "zero_factors", "log_score"), key).alias("b"))
+    return (scores.groupBy("doc_id")
+            .agg(F.max_by(F.struct("label_c", "zero_factors", "log_score", *carry), key).alias("b"))
             .select("doc_id", F.col("b.label_c").cast("double").alias("prediction"),
                     F.col("b.zero_factors").alias("zero_factors"),
-                    F.col("b.log_score").alias("log_score")))
-    if "label" in docs.columns:
-        best = best.join(docs.select("doc_id", "label"), "doc_id")
-    return best
+                    F.col("b.log_score").alias("log_score"),
+                    *[F.col(f"b.{c}").alias(c) for c in carry]))
 
 
 def brute_force_predict(train_rows, test_rows, vocab_size=None):
