@@ -20,3 +20,24 @@ def test_dropping_the_empty_filter_keeps_term_counts(spark):
     a = {tuple(r) for r in V.term_frequencies(without_stop_words(train), "tokens").collect()}
     b = {tuple(r) for r in V.term_frequencies(filtered_tokens(train), "tokens").collect()}
     assert a == b and len(a) > 0
+
+
+def test_global_row_number_on_empty_input(spark):
+    from valence.operators.ranking import global_row_number
+    empty = spark.range(10).filter("id < 0")
+    assert global_row_number(empty, [F.col("id")]).count() == 0
+
+
+def test_stream_state_moves_off_heap_unless_chosen(spark):
+    from valence.streaming import ingest
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, ingest._HEAP_STORE)
+        ingest._disk_backed_state(spark)
+        assert spark.conf.get(key) == ingest._ROCKSDB_STORE
+        spark.conf.set(key, "some.other.Provider")
+        ingest._disk_backed_state(spark)
+        assert spark.conf.get(key) == "some.other.Provider"
+    finally:
+        spark.conf.set(key, old)
