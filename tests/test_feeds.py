@@ -106,3 +106,14 @@ def test_payload_files_read_back_as_the_same_articles(spark):
     want = {tuple(r) for r in articles(spark, SF_SMALL).select(*cols).collect()}
     got = {tuple(r) for r in back.select(*cols).collect()}
     assert got == want and len(want) > 0
+
+
+def test_broadcast_strategy_falls_back_above_the_keyword_limit(spark, monkeypatch):
+    arts = articles(spark, SF_SMALL)
+    kw = FD.keyword_table(spark, ("that", "was", "for"))
+    want = {tuple(r) for r in FD.match_keywords(arts, kw, "tokens").select("feed", "key", "kw_ord").collect()}
+    monkeypatch.setattr(FD, "MAX_BROADCAST_KEYWORDS", 2)
+    m = FD.match_keywords(arts, kw, "broadcast")
+    plan = spark._jvm.PythonSQLUtils.explainString(m._jdf.queryExecution(), "simple")
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert {tuple(r) for r in m.select("feed", "key", "kw_ord").collect()} == want
