@@ -93,3 +93,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("connected components did not converge")
     return (current.select(F.col("a").alias("node"), F.col("b").alias("root"))
             .union(current.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())
+
+
+#: Labelled rows a classifier is fitted on at most, taken by hash of the id.
+FIT_ROWS = 200_000
+
+
+def fit_labels(labels: DataFrame, columns: list[str], fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``(doc_id, *columns)``: one row for each labelled id, at most ``fit_rows``
+    of them (the smallest id hashes), so the result has a proven size and is
+    marked for broadcast. Rows with a null id or label are left out; an id
+    with several rows takes the largest label."""
+    clean = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
+                          *(F.col(c).cast("int").alias(c) for c in columns)).dropna()
+    one = clean.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
+    return F.broadcast(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_NAMES = ("line_dedup", "simhash")
+_NAMES = ("toxicity", "line_dedup", "langid", "quality", "decontam", "mixing", "simhash")
 
 
 def _modules() -> list:
