@@ -107,4 +107,24 @@ def fit_labels(labels: DataFrame, columns: list[str], fit_rows: int = FIT_ROWS)
     clean = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           *(F.col(c).cast("int").alias(c) for c in columns)).dropna()
     one = clean.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
-    return F.broadcast(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+    share = 0.95 * fit_rows / max(1, one.count())
+    if share < 1:
+        one = one.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return F.broadcast(one.limit(fit_rows))
+
+
+def largest(df: DataFrame, score: str, limit: int) -> DataFrame:
+    """The rows of the largest positive scores, at most ``limit``. A histogram
+    of logarithmic bins gives the threshold, so no task and not the driver
+    ever sorts more than the result; rows of a bin stay or go together."""
+    bins = (df.groupBy(F.floor(F.log2(score) * 32).alias("bin")).agg(F.count("*").alias("n"))
+            .orderBy(F.desc("bin")).collect())  # about 64 x 32 bins whatever the rows
+    total, edge = 0, None
+    for r in bins:
+        total += r.n
+        if total > limit:
+            break
+        edge = r.bin
+    if edge is None:
+        return df.orderBy(F.desc(score)).limit(limit)
+    return df.where(F.floor(F.log2(score) * 32) >= edge)

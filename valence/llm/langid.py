@@ -169,6 +169,24 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray) -> DataFrame:
         run, "doc_id long, lang_pred string, score double, langs array<string>, shares array<double>")
 
 
+def accept(docs: DataFrame, langs: list[str], probs: np.ndarray, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one language explains at
+    least the share ``least``; texts without a letter go."""
+    shared = docs.sparkSession.sparkContext.broadcast(probs)
+
+    def run(batches):
+        for b in batches:
+            texts = column(b, "text").to_pylist()
+            keep = []
+            for at in range(0, len(texts), 256):
+                counts = [trigrams(t) if langs else None for t in texts[at:at + 256]]
+                found = iter(mixtures([x for x in counts if x is not None], shared.value))
+                keep += [x is not None and next(found)[1][0] >= least for x in counts]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def language_id(train: DataFrame, docs: DataFrame) -> DataFrame:
     """Learn from ``train(text, lang)`` and predict every row of ``docs``."""
     return predict(docs, *learn(train))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_NAMES = ("passages", "toxicity", "line_dedup", "langid", "quality", "decontam", "mixing", "brown", "simhash")
+_NAMES = ("passages", "toxicity", "line_dedup", "neighbours", "langid", "quality", "decontam", "mixing", "brown", "simhash")
 
 
 def _modules() -> list:

@@ -33,7 +33,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from valence.llm.common import column, connected_components, materialise, read_table, record, utf8
@@ -248,6 +248,23 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     return prints.join(component, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of each component the row
+    with the smallest id (of rows that share it, the one with the smallest
+    text). A row without an id cannot be told from others and stays."""
+    found = materialise(simhash_components(docs, shingle, max_bits), "simhash")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = materialise(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+                        .select("doc_id"), "simhash")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    first = Window.partitionBy("doc_id").orderBy("text")
+    shared = (kept.join(again, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first))
+              .where("_nth = 1").drop("_nth"))
+    return kept.join(again, "doc_id", "left_anti").unionByName(shared).select(docs.columns)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     result = simhash_components(read_table(spark, sf_dir, "documents"))
     return result.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

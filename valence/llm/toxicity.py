@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valence.llm.common import column, fit_labels, fold, materialise, read_table, record, utf8
+from valence.llm.common import column, fit_labels, fold, largest, materialise, read_table, record, utf8
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
 PRIOR = 1.0  # pseudo-documents of each token in either class, before the shared frequency
@@ -73,9 +73,9 @@ def lexicon(train: DataFrame) -> dict[bytes, float]:
     k1, k0 = F.col("n1") + a1, F.col("n0") + a0
     odds = (F.log(k1 / (t1 + a1 * types - k1)) - F.log(k0 / (t0 + a0 * types - k0)))
     weighed = (counted.select("token", odds.alias("w"), F.sqrt(1 / k1 + 1 / k0).alias("se"))
-               .withColumn("z", F.abs(F.col("w") / F.col("se"))).where(F.col("z") >= LEAST_Z)
-               .orderBy(F.desc("z"), "token").limit(LEXICON).select("token", "w").collect())
-    return {bytes(r.token): max(-MOST_WEIGHT, min(MOST_WEIGHT, r.w)) for r in weighed}
+               .withColumn("z", F.abs(F.col("w") / F.col("se"))).where(F.col("z") >= LEAST_Z))
+    return {bytes(r.token): max(-MOST_WEIGHT, min(MOST_WEIGHT, r.w))
+            for r in largest(weighed, "z", LEXICON).select("token", "w").collect()}
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
