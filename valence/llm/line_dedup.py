@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from valence.llm.common import materialise, read_table
+
 MIN_CHARS = 40
 MIN_DOCS = 5
 SPACES = " \t\n\x0b\x0c\r"
@@ -45,6 +47,9 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     frequent = (lines.groupBy("_h1", "_h2", "doc_id").agg(F.lit(1).alias("_one"))
                 .groupBy("_h1", "_h2").agg(F.sum("_one").alias("_docs"), F.max("doc_id").alias("_holder"))
                 .where(F.col("_docs") >= min_docs).select("_h1", "_h2", "_holder"))
+    # written out, so that the join below has a shuffle of its own on both sides
+    # and a line that very many documents hold is split over several tasks
+    frequent = materialise(frequent, "lines")
     return (lines.join(frequent, ["_h1", "_h2"])
             .where(~F.col("doc_id").eqNullSafe(F.col("_holder")))
             .select("_r1", "_r2", "_pos"))
@@ -73,7 +78,6 @@ def digest(result: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from valence.llm.common import read_table
     return digest(line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
