@@ -39,3 +39,14 @@ def test_d18_linear_record_carries_class_and_probability(spark):
     for r in rows:
         rec = json.loads(r.value)
         assert rec["lstmclass"] in (0.0, 1.0) and 0.5 <= rec["lstmpolarity"] <= 1.0
+
+
+def test_linear_publishing_keeps_headlines_without_tokens(spark):
+    from valence.operators import linear as L
+    docs = spark.createDataFrame([("a", []), ("b", ["market", "falls"])], "doc_id string, tokens array<string>")
+    vocab = spark.createDataFrame([("market", 2)], "term string, term_id int")
+    vecs = spark.createDataFrame([(2, [1.0, 2.0])], "term_id int, vec array<float>")
+    got = {r.doc_id: r.features.toArray().tolist() for r in L.pooled_vectors(docs, vocab, vecs).collect()}
+    assert got == {"a": [0.0, 0.0], "b": [0.5, 1.0]}
+    heads = FQ.q_headlines_all(spark, SF_SMALL).count()
+    assert LQ.q_publish_linear(spark, SF_SMALL).count() == heads

@@ -4,39 +4,46 @@ from valence.operators import feeds as FD
 from valence.sources.feeds import articles, parse_payloads, payloads_from_tables
 from conftest import SF_SMALL
 
-ART_SCHEMA = "feed string, key string, pos long, title string, text string"
+ART_SCHEMA = "feed string, key string, page long, item long, title string, text string"
 
 
-def test_match_strategies_agree(spark):
-    arts = articles(spark, SF_SMALL)
-    kw = FD.keyword_table(spark, ("that", "was", "for", "der", "que"))
-    a = {tuple(r) for r in FD.match_keywords(arts, kw, "broadcast").select("feed", "key", "kw_ord").collect()}
-    b = {tuple(r) for r in FD.match_keywords(arts, kw, "tokens").select("feed", "key", "kw_ord").collect()}
-    assert a == b and len(a) > 0
+def test_whole_word_phrase_match(spark):
+    arts = spark.createDataFrame([("A", "k1", 0, 0, "t", "Joe Biden said"), ("A", "k2", 0, 1, "t", "joebiden"),
+                                  ("A", "k3", 0, 2, "t", "Biden, Joe"), ("A", None, 0, 3, "t", "so joe biden"),
+                                  ("A", "k5", 0, 4, "t", None)], ART_SCHEMA)
+    kw = FD.keyword_table(spark, ("joe biden", "joe"))
+    got = {(r.key, r.leader) for r in FD.match_keywords(arts, kw).collect()}
+    assert got == {("k1", "joe biden"), (None, "joe biden"), ("k1", "joe"), ("k3", "joe"), (None, "joe")}
 
 
-def test_whole_word_phrase_match(spark):
-    arts = spark.createDataFrame([("A", "k1", 0, "t", "Joe Biden said"), ("A", "k2", 1, "t", "joebiden"),
-                                  ("A", "k3", 2, "t", "Biden, Joe")], ART_SCHEMA)
-    kw = FD.keyword_table(spark, ("joe biden",))
-    for strategy in ("broadcast", "tokens"):
-        keys = {r.key for r in FD.match_keywords(arts, kw, strategy).collect()}
-        assert keys == {"k1"}
+def test_a_keyword_on_a_late_line_is_found(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    text = docs.where("doc_id = 4").first().text
+    late = text.split("\n")[-1].lower().replace(".", " ").replace(",", " ").split()[-2:]
+    got = FD.match_keywords(articles(spark, SF_SMALL), FD.keyword_table(spark, (" ".join(late),)))
+    assert 4 in {r.item for r in got.where("feed = 'A'").collect()}
+
+
+def test_match_plan_has_no_nested_loop_and_carries_no_text(spark):
+    m = FD.match_keywords(articles(spark, SF_SMALL), FD.keyword_table(spark, ("that", "of the")))
+    plan = spark._jvm.PythonSQLUtils.explainString(m._jdf.queryExecution(), "simple")
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_key_under_two_keywords_keeps_first_keyword(spark):
-    arts = spark.createDataFrame([("A", "k", 0, "t", "alpha beta")], ART_SCHEMA)
+    arts = spark.createDataFrame([("A", "k", 0, 0, "t", "alpha beta")], ART_SCHEMA)
     kw = FD.keyword_table(spark, ("beta", "alpha"))
     h = FD.headlines(arts, kw).collect()
     assert len(h) == 1 and h[0].leader == "beta" and h[0].kw_ord == 0
 
 
 def test_first_n_cuts_before_dedup(spark):
-    rows = [("A", f"k{i}", i, "t", "w") for i in range(15)]
+    rows = [("A", f"k{i}", 0, i, "t", "w") for i in range(15)]
     arts = spark.createDataFrame(rows, ART_SCHEMA)
     kw = FD.keyword_table(spark, ("w",))
     h = FD.headlines(arts, kw, n=10)
-    assert sorted(r.pos for r in h.collect()) == list(range(10))
+    assert sorted(r.item for r in h.collect()) == list(range(10))
+    assert FD.headlines(arts, kw).count() == 15
 
 
 def test_unseen_drops_published_keys(spark):
@@ -53,7 +60,7 @@ def test_payload_roundtrip_keeps_every_article(spark):
     n_conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").count()
     counts = {r.feed: r["count"] for r in arts.groupBy("feed").count().collect()}
     assert counts == {"A": n_docs, "B": n_pages, "C": n_conv}
-    assert arts.filter(F.col("feed") == "A").select("pos").distinct().count() == n_docs
+    assert arts.filter(F.col("feed") == "A").select("page", "item").distinct().count() == n_docs
 
 
 def test_null_description_gives_title(spark):
@@ -64,16 +71,6 @@ def test_null_description_gives_title(spark):
     assert got == {"t": "t", "u": "u d"}
 
 
-def test_newest_pages_equal_single_pages(spark):
-    rows = [(i, f"t{i % 3}", i * 7 % 11, f"e{i}") for i in range(60)]
-    df = spark.createDataFrame(rows, "id long, g string, ts long, name string")
-    both = FD.newest_pages(df, "g", "ts", "id", 4, 2)
-    for page in (1, 2):
-        one = {(r.g, r.rank, r.id) for r in FD.newest_page(df, "g", "ts", "id", 4, page).collect()}
-        got = {(r.g, r.rank, r.id) for r in both.filter(F.col("page") == page).collect()}
-        assert got == one and len(one) == 12
-
-
 def test_long_conversation_pages_stay_bounded(spark):
     """Feed C payloads hold at most PAGE_SIZE stories, and positions follow
     the turn order across chunks."""
@@ -87,13 +84,13 @@ def test_long_conversation_pages_stay_bounded(spark):
     assert sizes == [50, 100, 100]
     payloads = paged.select(F.lit("C").alias("feed"), "page",
                             F.to_json(F.struct("page", "first", F.col("items").alias("stories"))).alias("payload"))
-    arts = parse_payloads(payloads).select("key", "pos").collect()
-    assert sorted((r.pos, r.key) for r in arts) == [(7 * SF.POS_STRIDE + t, f"7:{t}") for t in range(250)]
+    arts = parse_payloads(payloads).select("key", "page", "item").collect()
+    assert sorted((r.page, r.item, r.key) for r in arts) == [(7, t, f"7:{t}") for t in range(250)]
 
 
 def test_payload_files_read_back_as_the_same_articles(spark):
     """S5 from files: JSON-lines payloads written per feed and read back give
-    the same article rows, positions included."""
+    the same article rows."""
     from valence.session import scratch_path
     from valence.sources.feeds import read_feed_files, write_payload_files
     path = scratch_path(spark, "feed-files")
@@ -102,18 +99,7 @@ def test_payload_files_read_back_as_the_same_articles(spark):
     for feed in ("A", "B", "C"):
         part = read_feed_files(spark, f"{path}/feed={feed}", feed)
         back = part if back is None else back.unionByName(part)
-    cols = ["feed", "key", "pos", "title", "text"]
+    cols = ["feed", "key", "page", "title", "text"]
     want = {tuple(r) for r in articles(spark, SF_SMALL).select(*cols).collect()}
     got = {tuple(r) for r in back.select(*cols).collect()}
     assert got == want and len(want) > 0
-
-
-def test_broadcast_strategy_falls_back_above_the_keyword_limit(spark, monkeypatch):
-    arts = articles(spark, SF_SMALL)
-    kw = FD.keyword_table(spark, ("that", "was", "for"))
-    want = {tuple(r) for r in FD.match_keywords(arts, kw, "tokens").select("feed", "key", "kw_ord").collect()}
-    monkeypatch.setattr(FD, "MAX_BROADCAST_KEYWORDS", 2)
-    m = FD.match_keywords(arts, kw, "broadcast")
-    plan = spark._jvm.PythonSQLUtils.explainString(m._jdf.queryExecution(), "simple")
-    assert "BroadcastNestedLoopJoin" not in plan
-    assert {tuple(r) for r in m.select("feed", "key", "kw_ord").collect()} == want

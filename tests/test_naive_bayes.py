@@ -1,5 +1,8 @@
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import functions as F
 
 from valence.operators import naive_bayes as NB
@@ -20,8 +23,25 @@ def _fit_predict(spark, train_rows, test_rows):
 
 
 def _brute(train_rows, test_rows):
-    return NB.brute_force_predict([(y, Counter(t)) for y, t in train_rows],
-                                  [(y, Counter(t)) for y, t in test_rows])
+    """By definition, on a dense table: a word's likelihood is the share of the
+    class's rows with the same count; the largest product wins, then the
+    smaller label."""
+    x = pd.DataFrame([Counter(t) for _, t in train_rows]).fillna(0)
+    y = np.array([label for label, _ in train_rows])
+    out = []
+    for _, t in test_rows:
+        same = x == pd.Series(Counter(t)).reindex(x.columns).fillna(0)
+        share = {c: same[y == c].mean() for c in np.unique(y)}
+        logs = {c: round(float(np.log(p).sum() + np.log((y == c).mean())), 9) for c, p in share.items() if (p > 0).all()}
+        out.append(int(max(logs, key=lambda c: (logs[c], -c)) if logs else min(share)))
+    return out
+
+
+def test_more_classes_than_any_fixed_limit(spark):
+    train = [(c, [f"w{c}", "all"]) for c in range(1100)]
+    test = [(7, ["w7", "all"]), (1099, ["w1099", "all"]), (0, ["new"]), (0, [])]
+    got, _ = _fit_predict(spark, train, test)
+    assert got[:2] == [7, 1099] and got == _brute(train, test)
 
 
 def test_unseen_value_gives_smaller_label(spark):

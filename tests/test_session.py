@@ -34,10 +34,11 @@ def test_stream_state_moves_off_heap_unless_chosen(spark):
     old = spark.conf.get(key)
     try:
         spark.conf.set(key, ingest._HEAP_STORE)
-        ingest._disk_backed_state(spark)
-        assert spark.conf.get(key) == ingest._ROCKSDB_STORE
+        with ingest._disk_backed_state(spark):
+            assert spark.conf.get(key) == ingest._ROCKSDB_STORE
+        assert spark.conf.get(key) == ingest._HEAP_STORE
         spark.conf.set(key, "some.other.Provider")
-        ingest._disk_backed_state(spark)
-        assert spark.conf.get(key) == "some.other.Provider"
+        with ingest._disk_backed_state(spark):
+            assert spark.conf.get(key) == "some.other.Provider"
     finally:
         spark.conf.set(key, old)

@@ -13,3 +13,23 @@ def test_stream_publish_equals_batch_publish(spark):
     streamed = {tuple(r) for r in FQ.q_stream_publish(spark, SF_SMALL).collect()}
     batch = {tuple(r) for r in FQ.q_publish_nb(spark, SF_SMALL).collect()}
     assert streamed == batch and len(batch) > 0
+
+
+def test_bounded_dedup_drops_late_rows_only(spark):
+    """A first arrival older than the watermark goes; within the delay none does."""
+    from valence.session import scratch_path
+    from valence.streaming import ingest
+
+    days = ("2024-06-01", "2024-06-02", "2024-06-02", "2024-01-01", "2024-05-30")
+    for delay, want in (("7 days", {0, 1, 4}), ("365 days", {0, 1, 3, 4})):
+        root = scratch_path(spark, "late")
+        for i, day in enumerate(days):
+            user = 1 if i == 2 else i
+            spark.sql(f"SELECT {user}L AS user_id, 'e' AS event_type, timestamp'{day}' AS ts").coalesce(1).write.mode(
+                "append").parquet(f"{root}/src")
+        stream = (spark.readStream.schema("user_id LONG, event_type STRING, ts TIMESTAMP")
+                  .option("maxFilesPerTrigger", 1).parquet(f"{root}/src"))
+        before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+        ingest.dedup_events(spark, stream, f"{root}/out", f"{root}/check", delay=delay)
+        assert {r.user_id for r in spark.read.parquet(f"{root}/out").collect()} == want
+        assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before

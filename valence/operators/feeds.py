@@ -14,17 +14,13 @@ from pyspark.sql import functions as F
 
 from valence.functions.text import clean_text
 
-# The reference's keyword list (nine public figures).
-REFERENCE_KEYWORDS = ("narendra modi", "joe biden", "donald trump", "emmanuel macron",
-                      "kamala harris", "xi jinping", "kim jong un", "rishi sunak", "ron desantis")
-# Articles kept per (feed, keyword) and the recency window in days.
+# Articles kept per (feed, keyword) where the cut is asked for, and the recency
+# window in days.
 FIRST_N = 10
 RECENT_DAYS = 31
-# Keyword tables up to this size are broadcast into a nested-loop match.
-MAX_BROADCAST_KEYWORDS = 1000
 
 
-def keyword_table(spark: SparkSession, keywords=REFERENCE_KEYWORDS) -> DataFrame:
+def keyword_table(spark: SparkSession, keywords) -> DataFrame:
     """S3: ``(kw_ord, leader)`` from a small in-memory list, lower-cased and
     cleaned like article text so phrase matching compares like with like."""
     rows = [(i, k) for i, k in enumerate(keywords)]
@@ -37,36 +33,34 @@ def _phrase_in(text: Column, phrase: Column) -> Column:
     return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), phrase, F.lit(" ")))
 
 
-def match_keywords(arts: DataFrame, keywords: DataFrame, strategy: str = "auto") -> DataFrame:
-    """P10 + J8: ``(feed, key, pos, text, kw_ord, leader)`` for every article
+def match_keywords(arts: DataFrame, keywords: DataFrame) -> DataFrame:
+    """P10 + J8: ``(feed, key, page, item, kw_ord, leader)`` for every article
     whose cleaned text contains the keyword as whole words.
 
-    ``strategy="broadcast"``: nested-loop join against the broadcast keyword
-    table (cheapest for a handful of keywords). ``strategy="tokens"``: equi-join
-    of each article's distinct words with each keyword's first word, then the
-    phrase test; it scales to any number of keywords. ``"auto"`` picks
-    broadcast when the keyword table has at most ``MAX_BROADCAST_KEYWORDS``
-    rows, and ``"broadcast"`` also falls back to the equi-join above that.
+    The distinct words of each article, without its text, meet the first words
+    of the keywords in an equi-join, so the join carries ids only and any
+    number of keywords has the same plan. A keyword of one word is then found;
+    for the others the text is fetched again, for the candidates alone, and
+    tested for the phrase.
     """
-    a = arts.withColumn("_clean", clean_text("text"))
-    if strategy in ("auto", "broadcast") and keywords.count() > MAX_BROADCAST_KEYWORDS:
-        strategy = "tokens"     # too many keywords to broadcast: equi-join instead
-    elif strategy == "auto":
-        strategy = "broadcast"
-    if strategy == "broadcast":
-        m = a.join(F.broadcast(keywords), _phrase_in(F.col("_clean"), F.col("leader")))
-    else:
-        first = keywords.withColumn("_w", F.get(F.split("leader", " "), 0))
-        words = a.withColumn("_w", F.explode(F.array_distinct(F.split("_clean", " "))))
-        m = words.join(first, "_w").filter(_phrase_in(F.col("_clean"), F.col("leader"))).drop("_w")
-    return m.drop("_clean")
+    ids = ["feed", "key", "page", "item"]
+    first = keywords.withColumn("_w", F.get(F.split("leader", " "), 0)).withColumn(
+        "_one", F.col("_w") == F.col("leader"))
+    words = arts.select(*ids, F.explode(F.array_distinct(F.split(clean_text("text"), " "))).alias("_w"))
+    candidates = words.join(first, "_w").select(*ids, "kw_ord", "leader", "_one")
+    phrases = candidates.where(~F.col("_one")).drop("_one")
+    texts = arts.select(*ids, clean_text("text").alias("_clean"))
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ids]
+    found = (phrases.alias("c").join(texts.alias("t"), same)
+             .where(_phrase_in(F.col("t._clean"), F.col("c.leader"))).select("c.*"))
+    return candidates.where("_one").drop("_one").unionByName(found)
 
 
 def first_n_per_keyword(matches: DataFrame, n: int = FIRST_N) -> DataFrame:
     """The first ``n`` articles of each (feed, keyword) by position.
     Catalyst plans a partial WindowGroupLimit before the shuffle, so a hot
     keyword ships at most ``n`` rows per map task."""
-    w = Window.partitionBy("feed", "kw_ord").orderBy("pos", "key")
+    w = Window.partitionBy("feed", "kw_ord").orderBy("page", "item", "key")
     return matches.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
@@ -76,7 +70,7 @@ def first_per_key(rows: DataFrame) -> DataFrame:
     repeated across a third of the input still reduces before the shuffle."""
     cols = [c for c in rows.columns if c not in ("feed", "key")]
     best = (rows.groupBy("feed", "key")
-            .agg(F.min_by(F.struct(*cols), F.struct("kw_ord", "pos")).alias("_b")))
+            .agg(F.min_by(F.struct(*cols), F.struct("kw_ord", "page", "item")).alias("_b")))
     return best.select("feed", "key", "_b.*")
 
 
@@ -85,28 +79,24 @@ def unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
     return rows.join(seen.select("feed", "key"), ["feed", "key"], "left_anti")
 
 
-def headlines(arts: DataFrame, keywords: DataFrame, n: int = FIRST_N, strategy: str = "auto") -> DataFrame:
-    """The reference's news list: per keyword and feed the first ``n``
-    matching articles, each feed key kept once under its first keyword.
-    ``(feed, key, kw_ord, leader, pos, text)``."""
-    m = first_n_per_keyword(match_keywords(arts, keywords, strategy), n)
-    return first_per_key(m.select("feed", "key", "kw_ord", "leader", "pos", "text"))
+def headlines(arts: DataFrame, keywords: DataFrame, n: int | None = None) -> DataFrame:
+    """The reference's news list: the articles matching each keyword, each feed
+    key kept once under its first keyword; with ``n``, only the first ``n``
+    articles of each feed and keyword count.
+    ``(feed, key, kw_ord, leader, page, item, text)``."""
+    m = match_keywords(arts, keywords)
+    kept = first_per_key(m if n is None else first_n_per_keyword(m, n).drop("rank"))
+    ids = ["feed", "key", "page", "item"]
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ids]
+    return (kept.alias("h").join(arts.select(*ids, "text").alias("t"), same)
+            .select("h.feed", "h.key", "h.kw_ord", "h.leader", "h.page", "h.item", "t.text"))
 
 
 def recent(df: DataFrame, ts_col: str = "ts", days: int = RECENT_DAYS) -> DataFrame:
     """Rows at most ``days`` days older than the newest row (anchored
     on the data, not on the clock, so the result is reproducible)."""
     newest = df.agg(F.max(ts_col)).scalar()
-    return df.filter(F.col(ts_col) >= newest - F.make_interval(days=F.lit(days)))
-
-
-def newest_page(df: DataFrame, group_col: str, ts_col: str, id_col: str, n: int = 10,
-                page: int = 1) -> DataFrame:
-    """Newest first, ``n`` per group, page ``page`` (1-based)."""
-    w = Window.partitionBy(group_col).orderBy(F.desc(ts_col), F.asc(id_col))
-    lo, hi = (page - 1) * n, page * n
-    return (df.withColumn("rank", F.row_number().over(w))
-            .filter((F.col("rank") > lo) & (F.col("rank") <= hi)))
+    return df.filter(F.col(ts_col) >= newest - F.make_dt_interval(days=F.lit(days)))
 
 
 def newest_pages(df: DataFrame, group_col: str, ts_col: str, id_col: str, n: int = 10,

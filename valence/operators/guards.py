@@ -1,4 +1,4 @@
-"""Size checks in front of broadcasts and small-array expansions."""
+"""Size checks in front of broadcasts, and class lists."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 NARROW_ROW_BYTES = 32
 DEFAULT_BROADCAST_ROWS = BROADCAST_BYTES // NARROW_ROW_BYTES
-# Distinct classes a classifier may have; the class list is expanded per row.
-MAX_CLASSES = 1024
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
@@ -27,16 +25,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
     return F.broadcast(df) if n <= limit else df
 
 
-def bounded_array(arr: Column, limit: int, what: str) -> Column:
-    """Fail the query instead of silently expanding an array larger than
-    ``limit`` into every row."""
-    return F.when(F.size(arr) <= limit, arr).otherwise(
-        F.raise_error(F.lit(f"{what}: more than {limit} entries")))
-
-
-def class_array(df: DataFrame, col: str, limit: int = MAX_CLASSES) -> Column:
+def class_array(df: DataFrame, col: str) -> Column:
     """Sorted distinct values of ``col`` as a scalar-subquery array column,
-    with a size check."""
-    distinct = df.select(F.col(col).alias("c")).distinct().limit(limit + 1)
-    arr = distinct.agg(F.sort_array(F.collect_list("c")).alias("c")).scalar()
-    return bounded_array(arr, limit, f"distinct values of {col}")
+    for tables whose very shape is one row per class."""
+    return df.select(F.col(col).alias("c")).agg(F.sort_array(F.collect_set("c"))).scalar()

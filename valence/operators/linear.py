@@ -5,21 +5,25 @@ bidirectional LSTM on one machine and trains it for ten epochs with
 cross-entropy, keeping the weights of the epoch with the lowest validation
 loss. Here a document is the mean of its token vectors (unknown and special
 tokens count as zero vectors), computed as a weighted ``Summarizer.mean``
-aggregate, and Spark ML's ``LogisticRegression`` fits the same cross-entropy
-objective in a distributed way. The epoch loop becomes a sequence of fits
-with growing ``maxIter``; each epoch's validation loss is an aggregation.
+aggregate, and a logistic model is fitted to the same cross-entropy objective.
+
+An epoch is one distributed pass over the documents: it sums the gradient and
+the curvature of the loss at the present coefficients, which give the next
+ones (a Newton step), together with the losses of both splits. The coefficients
+of the epoch with the lowest validation loss are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from valence.operators.guards import broadcast_if_small
 from valence.operators.ranking import global_row_number
 from valence.operators.split import hash_bucket
 from valence.operators.vocab import term_frequencies
@@ -29,6 +33,7 @@ from valence.session import freeze
 BATCH_SIZE = 512
 EPOCHS = 10
 N_SPECIALS = 2
+RIDGE = 1e-3  # per training row; keeps the steps finite on separable data
 
 
 def word_vectors(vocab: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -42,46 +47,53 @@ def word_vectors(vocab: DataFrame, embeddings: DataFrame) -> DataFrame:
 
 def pooled_vectors(docs: DataFrame, vocab: DataFrame, vectors: DataFrame,
                    tokens_col: str = "tokens", dim: int | None = None) -> DataFrame:
-    """``(doc_id, features)``, the mean token vector of each document."""
+    """``(doc_id, features)``, the mean token vector of each document; the
+    zero vector for a document without tokens."""
     tf = term_frequencies(docs.repartition("doc_id"), tokens_col)
-    v = broadcast_if_small(vocab.select("term", "term_id"))
+    v = vocab.select("term", "term_id")
     if dim is None:
-        dim = vectors.select(F.size("vec")).first()[0]
-    # one float array per word: the broadcast bound counts its width
-    vec = broadcast_if_small(vectors, row_bytes=4 * dim + 16)
+        first = vectors.select(F.size("vec")).first()
+        dim = first[0] if first else 0
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    rows = (tf.join(v, "term", "left").join(vec, "term_id", "left")
+    rows = (tf.join(v, "term", "left").join(vectors, "term_id", "left")
             .select("doc_id", F.col("tf").cast("double").alias("w"),
                     array_to_vector(F.coalesce("vec", zero)).alias("v")))
-    return rows.groupBy("doc_id").agg(Summarizer.mean(F.col("v"), F.col("w")).alias("features"))
+    pooled = rows.groupBy("doc_id").agg(Summarizer.mean(F.col("v"), F.col("w")).alias("features"))
+    nothing = array_to_vector(F.array_repeat(F.lit(0.0), dim))
+    return docs.select("doc_id").join(pooled, "doc_id", "left").select(
+        "doc_id", F.coalesce("features", nothing).alias("features"))
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """A two-class softmax model: coefficients, then the intercept."""
 
+    weights: tuple[float, ...]
+    epoch: int = 0
+    loss: float = float("nan")
 
-def classifier(max_iter: int = 100, reg: float = 0.0) -> LogisticRegression:
-    return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                              regParam=reg, family="auto")
+    def save(self, spark: SparkSession, path: str) -> None:
+        """S10."""
+        spark.createDataFrame([(list(self.weights), self.epoch, self.loss)],
+                              "weights array<double>, epoch int, loss double").write.mode("overwrite").parquet(path)
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "LinearModel":
+        r = spark.read.parquet(path).first()
+        return cls(tuple(r.weights), r.epoch, r.loss)
 
-def fit(train: DataFrame, max_iter: int = 100) -> PipelineModel:
-    """M9: ``train(doc_id, features, label)`` -> fitted pipeline."""
-    return Pipeline(stages=[classifier(max_iter)]).fit(train.withColumn("label", F.col("label").cast("double")))
+    def margin(self, features: str | Column = "features") -> Column:
+        products = F.zip_with(vector_to_array(features), F.array(*map(F.lit, self.weights[:-1])), lambda x, w: x * w)
+        return F.aggregate(products, F.lit(self.weights[-1]), lambda a, x: a + x)
 
 
-def score(model: PipelineModel, docs: DataFrame) -> DataFrame:
+def score(model: LinearModel, docs: DataFrame) -> DataFrame:
     """M12 + F22: ``(doc_id, [label], prediction, probability)`` where
     probability is the softmax probability of the predicted class."""
-    out = model.transform(docs)
-    probs = vector_to_array("probability")
     keep = [c for c in ("doc_id", "label") if c in docs.columns]
-    return out.select(*keep, F.col("prediction"),
-                      F.element_at(probs, F.col("prediction").cast("int") + 1).alias("probability"),
-                      probs.alias("probs"))
-
-
-def log_loss_rows(scored: DataFrame) -> DataFrame:
-    """Per-row cross-entropy ``-log p(true class)`` and correctness."""
-    p_true = F.element_at("probs", F.col("label").cast("int") + 1)
-    return scored.select("doc_id", (-F.log(F.greatest(p_true, F.lit(1e-300)))).alias("loss"),
-                         (F.col("prediction") == F.col("label")).cast("double").alias("accuracy"))
+    return (docs.select(*keep, model.margin().alias("_m"))
+            .select(*keep, (F.col("_m") > 0).cast("double").alias("prediction"),
+                    (1 / (1 + F.exp(-F.abs("_m")))).alias("probability")))
 
 
 def batch_ids(docs: DataFrame, seed=100, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -104,27 +116,72 @@ def pad_batches(batched: DataFrame, ids_col: str = "ids", pad_id: int = 1) -> Da
             .drop("_max"))
 
 
-def epoch_history(train: DataFrame, valid: DataFrame, epochs: int = EPOCHS, run: str = "lr",
-                  batch_size: int = BATCH_SIZE) -> DataFrame:
-    """M10 + A18 + A19 + U3: ``(run, split, epoch, loss, accuracy)``.
-
-    Epoch ``e`` is the model after ``e`` optimiser iterations; each split's
-    loss and accuracy are unweighted means over batches of ``batch_size``
-    rows, as the reference averages its per-batch values."""
-    # the features are read by every epoch's fit and scoring: freeze them once
-    train, valid = freeze(train), freeze(valid)
-    tb = freeze(batch_ids(train.select("doc_id"), batch_size=batch_size))
-    vb = freeze(batch_ids(valid.select("doc_id"), batch_size=batch_size))
-    out = None
-    for e in range(1, epochs + 1):
-        model = fit(train, max_iter=e)
-        for split, df, b in (("train", train, tb), ("valid", valid, vb)):
-            rows = log_loss_rows(score(model, df)).join(b, "doc_id")
-            per_batch = rows.groupBy("batch").agg(F.avg("loss").alias("loss"),
-                                                  F.avg("accuracy").alias("accuracy"))
-            h = per_batch.agg(F.avg("loss").alias("loss"), F.avg("accuracy").alias("accuracy")).select(
-                F.lit(run).alias("run"), F.lit(split).alias("split"), F.lit(e).alias("epoch"),
-                "loss", "accuracy")
-            out = h if out is None else out.unionByName(h)
-    return freeze(out)
-
+def _pass(rows: DataFrame, weights: np.ndarray) -> dict[str, tuple[float, float, np.ndarray]]:
+    """One job: for each split the mean over batches of the mean loss and
+    accuracy at ``weights``, and the sums of gradient and curvature."""
+    size = len(weights) * (len(weights) + 1)
+    schema = pa.schema([("split", pa.string()), ("batch", pa.int64()), ("n", pa.float64()), ("loss", pa.float64()),
+                        ("right", pa.float64()), ("sums", pa.list_(pa.float64()))])
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(2).values.to_numpy().reshape(b.num_rows, -1)
+            x = np.hstack((x, np.ones((len(x), 1))))
+            y, split, batch = b.column(3).to_numpy(), np.array(b.column(0).to_pylist()), b.column(1).to_numpy()
+            m = x @ weights
+            p = 1 / (1 + np.exp(-np.clip(m, -500, 500)))
+            loss = np.logaddexp(0, np.where(y > 0, -m, m))
+            out = []
+            for s, k in sorted(set(zip(split.tolist(), batch.tolist()))):
+                at = (split == s) & (batch == k)
+                g = x[at].T @ (p[at] - y[at])
+                h = (x[at] * (p[at] * (1 - p[at]))[:, None]).T @ x[at]
+                out.append((s, k, float(at.sum()), loss[at].sum(), float(((m > 0) == (y > 0))[at].sum()),
+                            np.concatenate((g, h.ravel())) if s == "train" else np.zeros(size)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    sums = Summarizer.sum(F.col("v"))
+    got = (rows.mapInArrow(run, "split string, batch long, n double, loss double, right double, sums array<double>")
+           .withColumn("v", array_to_vector("sums"))
+           .groupBy("split", "batch").agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"), F.sum("right").alias("right"),
+                                          sums.alias("v"))
+           .groupBy("split").agg(F.avg(F.col("loss") / F.col("n")).alias("loss"),
+                                 F.avg(F.col("right") / F.col("n")).alias("accuracy"), sums.alias("v"),
+                                 F.sum("n").alias("n")).collect())  # two rows
+    return {r.split: (r.loss, r.accuracy, r.v.toArray(), r.n) for r in got}
+
+
+def train_epochs(train: DataFrame, valid: DataFrame, epochs: int = EPOCHS, run: str = "lr",
+                 batch_size: int = BATCH_SIZE) -> tuple[LinearModel, DataFrame]:
+    """M10 + A18 + A19 + U3: the model of the epoch with the lowest validation
+    loss (of the training loss without validation rows), and the history
+    ``(run, split, epoch, loss, accuracy)``: unweighted means over batches of
+    ``batch_size`` rows, as the reference averages its per-batch values.
+
+    ``train`` and ``valid`` are ``(doc_id, features, label)``, labels 0 and 1.
+    Epoch ``e`` is one pass over both and starts from epoch ``e - 1``."""
+    parts = [batch_ids(df.select("doc_id", vector_to_array("features").alias("features"),
+                                 F.col("label").cast("double").alias("label")), batch_size=batch_size)
+             .select(F.lit(name).alias("split"), "batch", "features", "label")
+             for name, df in (("train", train), ("valid", valid))]
+    rows = freeze(parts[0].unionByName(parts[1]))
+    first = rows.first()
+    d = len(first.features) + 1 if first else 1
+    weights, best, history = np.zeros(d), None, []
+    for e in range(epochs + 1):
+        seen = _pass(rows, weights)
+        if e:
+            history += [(run, s, e, *seen[s][:2]) for s in ("train", "valid") if s in seen]
+            loss = seen.get("valid", seen.get("train", (float("nan"),)))[0]
+            if best is None or loss < best.loss:
+                best = LinearModel(tuple(weights.tolist()), e, loss)
+        if "train" in seen:
+            *_, sums, n = seen["train"]
+            ridge = RIDGE * n * np.append(np.ones(d - 1), 0.0)
+            weights = weights - np.linalg.solve(sums[d:].reshape(d, d) + np.diag(ridge + 1e-9),
+                                                sums[:d] + ridge * weights)
+    best = best or LinearModel(tuple(weights.tolist()))
+    return best, rows.sparkSession.createDataFrame(
+        history, "run string, split string, epoch int, loss double, accuracy double")

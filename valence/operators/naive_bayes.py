@@ -19,14 +19,13 @@ then the larger log score (rounded to 1e-9), then the smaller label.
 
 from __future__ import annotations
 
-import math
 import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valence.operators.guards import MAX_CLASSES, broadcast_if_small, class_array
+from valence.operators.guards import class_array
 from valence.session import freeze
 
 
@@ -59,10 +58,8 @@ def term_counts(docs: DataFrame, tokens_col: str = "tokens", keep=("label",)) ->
 
 
 def with_term_ids(tf: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Vocabulary words only, ``term`` replaced by ``term_id``; the
-    vocabulary side is a size-checked broadcast."""
-    v = broadcast_if_small(vocab.select("term", "term_id"))
-    return tf.join(v, "term").drop("term")
+    """Vocabulary words only, ``term`` replaced by ``term_id``."""
+    return tf.join(vocab.select("term", "term_id"), "term").drop("term")
 
 
 def doc_term_counts(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
@@ -84,26 +81,23 @@ def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
     """M3: ``train_docs(doc_id, label, tokens)`` and a vocabulary -> model.
     ``train_tf`` may pass precomputed ``term_counts`` of the same documents.
 
-    Each model table is derived from the previous (frozen) one, so the
-    training postings are aggregated once: postings -> ``(label, term_id,
-    tf, c)`` -> per-class document frequency ``s`` -> per-class base."""
+    The training postings are aggregated once and that table is frozen:
+    ``(label, term_id, tf, c)``, from which the per-class document frequency
+    ``s`` and the per-class base follow."""
     keep = freeze if checkpoint else (lambda df: df)
-    priors = keep(class_priors(train_docs.select("label")).select("label", "n", "prior"))
+    priors = class_priors(train_docs.select("label")).select("label", "n", "prior")
     if train_tf is None:
         train_tf = term_counts(train_docs.select("doc_id", "label", tokens_col), tokens_col)
-    tf = with_term_ids(train_tf, vocab)
     # A10: rows of class y whose word i has count v (v >= 1 only)
-    counts = keep(tf.groupBy("label", "term_id", "tf").agg(F.count(F.lit(1)).alias("c")))
-    # one row per class: broadcast only while the class count is bounded
-    b_n = broadcast_if_small(priors.select("label", "n"), MAX_CLASSES)
-    lik = (counts.join(b_n, "label")
-           .select("label", "term_id", "tf", "c", F.log(F.col("c") / F.col("n")).alias("log_l")))
+    counts = keep(with_term_ids(train_tf, vocab).groupBy("label", "term_id", "tf")
+                  .agg(F.count(F.lit(1)).alias("c"))
+                  .join(priors.select("label", "n"), "label"))
+    lik = counts.select("label", "term_id", "tf", "c", F.log(F.col("c") / F.col("n")).alias("log_l"))
     full = F.col("s") == F.col("n")
-    class_terms = keep(counts.groupBy("label", "term_id").agg(F.sum("c").alias("s"))
-                       .join(b_n, "label")
-                       .select("label", "term_id", "s", full.cast("int").alias("zero0"),
-                               F.when(full, F.lit(0.0))
-                               .otherwise(F.log((F.col("n") - F.col("s")) / F.col("n"))).alias("log_l0")))
+    class_terms = (counts.groupBy("label", "term_id").agg(F.sum("c").alias("s"), F.first("n").alias("n"))
+                   .select("label", "term_id", "s", full.cast("int").alias("zero0"),
+                           F.when(full, F.lit(0.0))
+                           .otherwise(F.log((F.col("n") - F.col("s")) / F.col("n"))).alias("log_l0")))
     base = class_terms.groupBy("label").agg(F.sum("zero0").alias("base_zero"),
                                             F.sum("log_l0").alias("base_log"))
     classes = keep(priors.join(base, "label", "left")
@@ -115,37 +109,44 @@ def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
 
 
 def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """J3 + A11: ``(doc_id, label_c, zero_factors, log_score)`` for every
-    document and class."""
+    """J3 + A11: ``(doc_id, label_c, zero_factors, log_score)`` for the classes
+    that can win.
+
+    A posterior is non-zero only if every present word has its observed count
+    in some row of the class, so classes without a single such hit are left
+    out: their posterior is zero. Two classes stand in for them in every
+    document: the best by base score (it wins when no vocabulary word is
+    present) and the smallest label (it wins when every posterior is zero).
+    Rows grow with the hits, not with documents x classes."""
     # read by three branches below; column pruning makes their plans differ,
     # so the exchange would not be reused: compute the postings once
     tf = freeze(doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
                                 keep=()))
-    ct = broadcast_if_small(model.class_terms.select("term_id", "label", "zero0", "log_l0"))
-    lk = broadcast_if_small(model.likelihood.select("term_id", "tf", "label", "log_l"))
+    ct = model.class_terms.select("term_id", "label", "zero0", "log_l0")
+    lk = model.likelihood.select("term_id", "tf", "label", "log_l")
     # A: remove the value-0 factor of every present word (classes where it occurs)
     a_rows = tf.join(ct, "term_id").select(
-        "doc_id", F.col("label").alias("label_c"),
+        "doc_id", F.col("label").alias("label_c"), F.lit(0).alias("hit"),
         (-F.col("zero0")).alias("dz"), (-F.col("log_l0")).alias("dl"))
     # B: the observed-count factor; a miss is a zero factor, a hit cancels it
     b_rows = tf.join(lk, ["term_id", "tf"]).select(
-        "doc_id", F.col("label").alias("label_c"),
+        "doc_id", F.col("label").alias("label_c"), F.lit(1).alias("hit"),
         F.lit(-1).alias("dz"), F.col("log_l").alias("dl"))
-    # G: one row per (document, class): class base + one assumed miss per present word
+    base_rank = F.struct(F.col("base_zero") == 0,
+                         F.round(F.col("log_prior") + F.col("base_log"), 9), -F.col("label"))
+    stand_in = model.classes.agg(F.array(F.min("label"), F.max_by("label", base_rank))).scalar()
+    g_rows = docs.select("doc_id", F.explode(F.array_distinct(stand_in)).alias("label_c")).select(
+        "doc_id", "label_c", F.lit(1).alias("hit"), F.lit(0).alias("dz"), F.lit(0.0).alias("dl"))
     present = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
-    labels = class_array(model.classes, "label")
-    base = broadcast_if_small(model.classes.select(F.col("label").alias("label_c"), "log_prior",
-                                                   "base_zero", "base_log"), MAX_CLASSES)
-    g_rows = (docs.select("doc_id").join(present, "doc_id", "left")
-              .select("doc_id", F.coalesce("m", F.lit(0)).alias("m"),
-                      F.explode(labels).alias("label_c"))
-              .join(base, "label_c")
-              .select("doc_id", "label_c",
-                      (F.col("base_zero") + F.col("m")).alias("dz"),
-                      (F.col("log_prior") + F.col("base_log")).alias("dl")))
     return (g_rows.unionByName(a_rows).unionByName(b_rows)
             .groupBy("doc_id", "label_c")
-            .agg(F.sum("dz").cast("bigint").alias("zero_factors"), F.sum("dl").alias("log_score")))
+            .agg(F.sum("hit").alias("hit"), F.sum("dz").alias("dz"), F.sum("dl").alias("dl"))
+            .where("hit > 0")
+            .join(model.classes.withColumnRenamed("label", "label_c"), "label_c")
+            .join(present, "doc_id", "left")
+            .select("doc_id", "label_c",
+                    (F.col("base_zero") + F.coalesce("m", F.lit(0)) + F.col("dz")).cast("bigint").alias("zero_factors"),
+                    (F.col("log_prior") + F.col("base_log") + F.col("dl")).alias("log_score")))
 
 
 def predict(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -166,42 +167,6 @@ def predict(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> Data
     return best
 
 
-def brute_force_predict(train_rows, test_rows, vocab_size=None):
-    """Literal re-statement of the reference's dense loop for small fixtures
-    (tests only): rows are ``(label, {term: count})``; returns predictions."""
-    terms = sorted({t for _, d in train_rows for t in d})
-    classes = {}
-    for y, _ in train_rows:
-        classes[y] = classes.get(y, 0) + 1
-    total = sum(classes.values())
-    X = [[d.get(t, 0) for t in terms] for _, d in train_rows]
-    Y = [y for y, _ in train_rows]
-    lik = {}
-    for y in classes:
-        lik[y] = {}
-        for i in range(len(terms)):
-            vals = {x[i] for x in X}
-            lik[y][i] = {v: sum(1 for x, yy in zip(X, Y) if x[i] == v and yy == y) / classes[y]
-                         for v in vals}
-    out = []
-    for _, d in test_rows:
-        x = [d.get(t, 0) for t in terms]
-        best = None
-        for y in sorted(classes):
-            zeros, logs = 0, math.log(classes[y] / total)
-            for i, v in enumerate(x):
-                p = lik[y][i].get(v, 0.0)
-                if p == 0:
-                    zeros += 1
-                else:
-                    logs += math.log(p)
-            key = (zeros == 0, round(logs, 9) if zeros == 0 else 0.0, -y)
-            if best is None or key > best[0]:
-                best = (key, y)
-        out.append(best[1])
-    return out
-
-
 def likelihood_table(model: NBModel) -> DataFrame:
     """A6 + A10 in the reference's shape: ``(label, term_id, value,
     likelihood)`` for every class, every vocabulary word and every count value
@@ -214,7 +179,7 @@ def likelihood_table(model: NBModel) -> DataFrame:
     values = seen.unionByName(zero)
     labels = class_array(model.classes, "label")
     grid = values.select("term_id", "value", F.explode(labels).alias("label"))
-    n = broadcast_if_small(model.classes.select("label", "n"), MAX_CLASSES)
+    n = model.classes.select("label", "n")
     pos = model.likelihood.select("label", "term_id", F.col("tf").alias("value"), "c")
     s = model.class_terms.select("label", "term_id", "s")
     return (grid.join(n, "label")

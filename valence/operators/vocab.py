@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valence.operators.guards import broadcast_if_small
 from valence.operators.ranking import global_row_number
 from valence.session import freeze
 
@@ -19,8 +18,6 @@ from valence.session import freeze
 # reference's minimum corpus frequency for that vocabulary.
 UNK, PAD = "<unk>", "<pad>"
 MIN_FREQ = 4
-# Spark CountVectorizer's default vocabulary size (2^18).
-COUNT_VECTORIZER_VOCAB = 1 << 18
 
 
 def term_frequencies(docs: DataFrame, tokens_col: str = "tokens", id_col: str = "doc_id") -> DataFrame:
@@ -62,8 +59,8 @@ def build_vocab(tf: DataFrame, max_size: int | None = None, min_count: int = 1,
     return freeze(vocab) if checkpoint else vocab
 
 
-def count_vectorizer_vocab(tf: DataFrame, vocab_size: int = COUNT_VECTORIZER_VOCAB) -> DataFrame:
-    """Top ``vocab_size`` terms by count, ids from 0."""
+def count_vectorizer_vocab(tf: DataFrame, vocab_size: int | None = None) -> DataFrame:
+    """All terms by count, ids from 0; ``vocab_size`` keeps the first ones."""
     return build_vocab(tf, max_size=vocab_size)
 
 
@@ -74,9 +71,9 @@ def sequence_vocab(tf: DataFrame, min_freq: int = MIN_FREQ) -> DataFrame:
 
 def lookup_ids(tf: DataFrame, vocab: DataFrame, default_id: int | None = None) -> DataFrame:
     """Attach ``term_id``. Unknown terms get ``default_id``; with
-    ``default_id=None`` they are dropped. The vocabulary is broadcast only
-    after its row count is checked."""
-    v = broadcast_if_small(vocab.select("term", "term_id"))
+    ``default_id=None`` they are dropped. The planner
+    broadcasts a vocabulary whose measured size allows it."""
+    v = vocab.select("term", "term_id")
     if default_id is None:
         return tf.join(v, "term")
     return tf.join(v, "term", "left").withColumn(

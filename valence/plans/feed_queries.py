@@ -17,14 +17,15 @@ from valence.plans.nb_queries import nb_model, nb_pred_ctes
 from valence.plans.prepare import train_test
 from valence.session import scratch_path
 from valence.sources import sinks
-from valence.sources.feeds import articles, payloads_from_tables
+from valence.sources.feeds import articles, parse_payloads, payloads_from_tables
 from valence.sources.tables import table
 from valence.streaming import ingest
 
-# Test keywords: words that occur in all three stand-in feeds (the
-# reference's own list of names is REFERENCE_KEYWORDS in operators/feeds.py).
-TEST_KEYWORDS = ("that", "was", "for", "with", "this", "are", "que", "anea", "der")
+# Test keywords: words that occur in all three stand-in feeds, and phrases.
+TEST_KEYWORDS = ("that", "was", "for", "with", "this", "are", "que", "anea", "der",
+                 "of the", "and the", "zu den")
 SEEN_KEYWORDS = 4   # keywords of an earlier run whose headlines count as published
+QUERY_DAYS = 10     # the test events span thirty days
 # Stream sources are written by parallel tasks; files of at most this many
 # records become separate micro-batches.
 FILE_RECORDS = 256
@@ -35,7 +36,8 @@ def _kw(spark):
 
 
 def q_feed_articles(spark, sf):
-    return articles(spark, sf)
+    """The articles as parsed from the services' JSON payloads."""
+    return parse_payloads(payloads_from_tables(spark, sf)).select("feed", "key", "title", "text")
 
 
 def q_feed_source_filter(spark, sf):
@@ -44,28 +46,27 @@ def q_feed_source_filter(spark, sf):
 
 
 def q_keyword_matches(spark, sf):
-    m = FD.match_keywords(articles(spark, sf), _kw(spark), "broadcast")
-    return m.select("feed", "key", "kw_ord", "leader")
-
-
-def q_keyword_matches_tokens(spark, sf):
-    m = FD.match_keywords(articles(spark, sf), _kw(spark), "tokens")
+    m = FD.match_keywords(articles(spark, sf), _kw(spark))
     return m.select("feed", "key", "kw_ord", "leader")
 
 
 def q_feed_first_n(spark, sf):
     m = FD.first_n_per_keyword(FD.match_keywords(articles(spark, sf), _kw(spark)))
-    return m.select("feed", "kw_ord", "rank", "key", "pos")
+    return m.select("feed", "kw_ord", "rank", "key")
 
 
 def q_headlines(spark, sf):
-    return FD.headlines(articles(spark, sf), _kw(spark))
+    return FD.headlines(articles(spark, sf), _kw(spark), FD.FIRST_N)
+
+
+def q_headlines_all(spark, sf):
+    return FD.headlines(articles(spark, sf), _kw(spark)).select("feed", "key", "kw_ord", "leader", "text")
 
 
 def q_headlines_unseen(spark, sf):
     arts, kw = articles(spark, sf), _kw(spark)
-    seen = FD.headlines(arts, kw.filter(F.col("kw_ord") < SEEN_KEYWORDS))
-    return FD.unseen(FD.headlines(arts, kw), seen).select("feed", "key", "kw_ord", "leader")
+    seen = FD.headlines(arts, kw.filter(F.col("kw_ord") < SEEN_KEYWORDS), FD.FIRST_N)
+    return FD.unseen(FD.headlines(arts, kw, FD.FIRST_N), seen).select("feed", "key", "kw_ord", "leader")
 
 
 def _events(spark, sf):
@@ -73,7 +74,7 @@ def _events(spark, sf):
 
 
 def q_events_recent(spark, sf):
-    return FD.recent(_events(spark, sf)).select("event_id", "user_id", "event_type")
+    return FD.recent(table(spark, sf, "events"), days=QUERY_DAYS).select("event_id", "user_id", "event_type")
 
 
 def q_events_newest_page(spark, sf):
@@ -150,9 +151,9 @@ QUERIES = {
     "feed_articles": q_feed_articles,
     "feed_source_filter": q_feed_source_filter,
     "keyword_matches": q_keyword_matches,
-    "keyword_matches_tokens": q_keyword_matches_tokens,
     "feed_first_n": q_feed_first_n,
     "headlines": q_headlines,
+    "headlines_all": q_headlines_all,
     "headlines_unseen": q_headlines_unseen,
     "events_recent": q_events_recent,
     "events_newest_page": q_events_newest_page,
@@ -168,63 +169,60 @@ _KW_SQL = " UNION ALL ".join(f"SELECT {i} AS kw_ord, '{k}' AS leader" for i, k i
 
 FEED_CTES = f""",
 arts AS (
-  SELECT 'A' AS feed, title AS key, page * 1000000 + idx AS pos, title,
+  SELECT 'A' AS feed, title AS key, doc_id // 100 AS page, doc_id AS item, title,
          concat_ws(' ', title, description) AS text
-  FROM (SELECT string_split(text, chr(10))[1] AS title, string_split(text, chr(10))[2] AS description,
-               doc_id // 100 AS page,
-               row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS idx
+  FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title,
+               CASE WHEN contains(text, chr(10)) THEN substr(text, strpos(text, chr(10)) + 1) END AS description
         FROM documents) a
   UNION ALL
-  SELECT 'B', url, page * 1000000 + idx, t, t
-  FROM (SELECT url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t, page_id // 100 AS page,
-               row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) - 1 AS idx
-        FROM pages) b
+  SELECT 'B', url, page_id // 100, page_id, t, t
+  FROM (SELECT url, page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages) b
   UNION ALL
-  SELECT 'C', conv_id || ':' || turn, conv_id * 1000000 + first + idx, text, text
-  FROM (SELECT conv_id, turn, text, floor(turn / 100)::BIGINT * 100 AS first,
-               row_number() OVER (PARTITION BY conv_id, floor(turn / 100) ORDER BY turn) - 1 AS idx
-        FROM conversations) c),
+  SELECT 'C', conv_id || ':' || turn, conv_id, turn, text, text FROM conversations),
 kw AS ({_KW_SQL}),
 mt AS (SELECT arts.*, kw.kw_ord, kw.leader FROM arts JOIN kw
        ON contains(' ' || {S.clean('arts.text')} || ' ', ' ' || kw.leader || ' ')),
-fn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed, kw_ord ORDER BY pos, key) AS rank
+fn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed, kw_ord ORDER BY page, item, key) AS rank
                       FROM mt) r WHERE rank <= 10),
-hl AS (SELECT feed, key, kw_ord, leader, pos, text FROM (
-         SELECT *, row_number() OVER (PARTITION BY feed, key ORDER BY kw_ord, pos) AS r FROM fn) x
-       WHERE r = 1)"""
+hl AS (SELECT feed, key, kw_ord, leader, page, item, text FROM (
+         SELECT *, row_number() OVER (PARTITION BY feed, key ORDER BY kw_ord, page, item) AS r FROM fn) x
+       WHERE r = 1),
+hla AS (SELECT feed, key, kw_ord, leader, page, item, text FROM (
+         SELECT *, row_number() OVER (PARTITION BY feed, key ORDER BY kw_ord, page, item) AS r FROM mt) x
+        WHERE r = 1)"""
 
 _NB_PUBLISH = nb_pred_ctes(
     "quality", extra=FEED_CTES,
-    tdocs=f"SELECT feed || ':' || key AS doc_id, 0 AS label, {S.tokens(S.clean('text'))} AS tokens FROM hl") + """
+    tdocs=f"SELECT feed || ':' || key AS doc_id, 0 AS label, {S.tokens(S.clean('text'))} AS tokens FROM hla") + """
 SELECT hl.feed, hl.key,
        json_object('news', hl.text, 'leader', hl.leader, 'naviesBayesPolarity', pred.prediction) AS value
-FROM hl JOIN pred ON pred.doc_id = hl.feed || ':' || hl.key"""
+FROM hla hl JOIN pred ON pred.doc_id = hl.feed || ':' || hl.key"""
 
 _KNN_PUBLISH = knn_ctes(
     "quality", extra=FEED_CTES,
-    qdocs=f"SELECT feed || ':' || key AS doc_id, 0 AS label, {S.words(S.clean('text'))} AS words FROM hl") + """
+    qdocs=f"SELECT feed || ':' || key AS doc_id, 0 AS label, {S.words(S.clean('text'))} AS words FROM hla") + """
 SELECT hl.feed, hl.key,
        json_object('news', hl.text, 'leader', hl.leader, 'knnpolarity', pred.prediction) AS value
-FROM hl JOIN pred ON pred.doc_id = hl.feed || ':' || hl.key"""
+FROM hla hl JOIN pred ON pred.doc_id = hl.feed || ':' || hl.key"""
 
 _W = "WITH dummy AS (SELECT 1)"
 
 ORACLE = {
-    "feed_articles": _W + FEED_CTES + " SELECT feed, key, pos, title, text FROM arts",
+    "feed_articles": _W + FEED_CTES + " SELECT feed, key, title, text FROM arts",
     "feed_source_filter": """SELECT doc_id, source FROM documents
                              WHERE lang = 'en' AND source IN ('src1', 'src3')""",
     "keyword_matches": _W + FEED_CTES + " SELECT feed, key, kw_ord, leader FROM mt",
-    "keyword_matches_tokens": _W + FEED_CTES + " SELECT feed, key, kw_ord, leader FROM mt",
-    "feed_first_n": _W + FEED_CTES + " SELECT feed, kw_ord, rank::INT AS rank, key, pos FROM fn",
+    "feed_first_n": _W + FEED_CTES + " SELECT feed, kw_ord, rank::INT AS rank, key FROM fn",
     "headlines": _W + FEED_CTES + " SELECT * FROM hl",
+    "headlines_all": _W + FEED_CTES + " SELECT feed, key, kw_ord, leader, text FROM hla",
     "headlines_unseen": _W + FEED_CTES + f""",
-fn0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed, kw_ord ORDER BY pos, key) AS rank
+fn0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed, kw_ord ORDER BY page, item, key) AS rank
                        FROM mt WHERE kw_ord < {SEEN_KEYWORDS}) r WHERE rank <= 10),
 seen AS (SELECT DISTINCT feed, key FROM fn0)
 SELECT feed, key, kw_ord, leader FROM hl
 WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.feed = hl.feed AND seen.key = hl.key)""",
-    "events_recent": """SELECT event_id, user_id, event_type FROM events
-WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 31 DAY""",
+    "events_recent": f"""SELECT event_id, user_id, event_type FROM events
+WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {QUERY_DAYS} DAY""",
     "events_newest_page": """SELECT event_type, ((rank - 1) // 10 + 1)::INT AS page, rank::INT AS rank, event_id
 FROM (SELECT event_type, event_id,
              row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS rank

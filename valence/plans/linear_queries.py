@@ -3,7 +3,6 @@ epoch history, batching with padding, and record publishing."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from valence.operators.metrics import best_so_far
 from valence.operators.split import validation_split
 from valence.plans import sql as S
 from valence.plans.feed_queries import _headline_docs, _kw
-from valence.plans.prepare import filtered_tokens, prepared, without_stop_words
+from valence.plans.prepare import filtered_tokens, prepared, without_stop_words, tokenised
 from valence.sources import sinks
 from valence.sources.feeds import articles
 from valence.sources.tables import table
@@ -51,28 +50,36 @@ def q_pooled_vectors(spark, sf):
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
 
 
-def linear_model(spark, sf, roundtrip=False):
+def linear_model(spark, sf):
+    """The best epoch's model, saved and loaded again, and its history."""
     feats, train_f, test_f, vocab, vecs = lin_inputs(spark, sf)
-    model = L.fit(feats(train_f))
-    if roundtrip:
-        path = scratch_path(spark, "linear-model")
-        model.write().overwrite().save(path)
-        model = PipelineModel.load(path)
-    return model, feats, test_f, vocab, vecs
+    tr, va = validation_split(train_f, "doc_id")
+    model, history = L.train_epochs(feats(tr), feats(va))
+    path = scratch_path(spark, "linear-model")
+    model.save(spark, path)
+    return L.LinearModel.load(spark, path), history, feats, test_f, vocab, vecs
 
 
 def q_linear_predict(spark, sf):
-    model, feats, test_f, _, _ = linear_model(spark, sf, roundtrip=True)
+    model, _, feats, test_f, _, _ = linear_model(spark, sf)
     s = L.score(model, feats(test_f))
     return s.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
 
 
+# Coefficients by rule, to score with a model that SQL can restate.
+FIXED_MODEL = L.LinearModel((*((j * 37 % 11 - 5) / 5 for j in range(64)), 0.01))
+
+
+def q_linear_score_fixed(spark, sf):
+    feats, _, test_f, _, _ = lin_inputs(spark, sf)
+    s = L.score(FIXED_MODEL, feats(test_f))
+    return s.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
+
+
 def q_linear_epochs(spark, sf):
-    feats, train_f, _, _, _ = lin_inputs(spark, sf)
-    tr, va = validation_split(train_f, "doc_id")
-    hist = L.epoch_history(feats(tr), feats(va))
+    model, hist, *_ = linear_model(spark, sf)
     flags = best_so_far(hist).select("run", "epoch", "improved")
-    return hist.join(flags, ["run", "epoch"], "left")
+    return hist.join(flags, ["run", "epoch"], "left").withColumn("kept", F.col("epoch") == model.epoch)
 
 
 def q_batch_padding(spark, sf):
@@ -88,7 +95,7 @@ def q_batch_padding(spark, sf):
 
 
 def q_publish_linear(spark, sf):
-    model, _, _, vocab, vecs = linear_model(spark, sf)
+    model, _, _, _, vocab, vecs = linear_model(spark, sf)
     docs = _headline_docs(FD.headlines(articles(spark, sf), _kw(spark)))
     toks = docs.select("doc_id", remove_stop_words(regex_tokens(clean_text("text"))).alias("tokens"))
     scored = L.score(model, L.pooled_vectors(toks, vocab, vecs))
@@ -99,8 +106,8 @@ def q_publish_linear(spark, sf):
 
 
 def q_preview_tokens(spark, sf):
-    df = prepared(spark, sf)
-    return sinks.preview(df.select("doc_id", join_tokens("tokens").alias("tokens_str")), 10)
+    df = tokenised(spark, sf).select("doc_id", join_tokens("tokens").alias("tokens_str"))
+    return sinks.preview(df.orderBy("doc_id"), 10)
 
 
 def q_labelled_kv(spark, sf):
@@ -112,6 +119,7 @@ def q_labelled_kv(spark, sf):
 QUERIES = {
     "pooled_vectors": q_pooled_vectors,
     "linear_predict": q_linear_predict,
+    "linear_score_fixed": q_linear_score_fixed,
     "linear_epochs": q_linear_epochs,
     "batch_padding": q_batch_padding,
     "publish_linear": q_publish_linear,
@@ -128,8 +136,7 @@ sv AS (SELECT '<unk>' AS term, 0 AS term_id, 0::BIGINT AS cnt
        UNION ALL SELECT '<pad>', 1, 0::BIGINT
        UNION ALL {S.vocab('ftf', min_count=4, offset=2)})"""
 
-ORACLE = {
-    "pooled_vectors": _SEQ + """,
+_POOLED = _SEQ + """,
 dtf AS (SELECT doc_id, term, count(*)::BIGINT AS tf
         FROM (SELECT doc_id, unnest(tokens) AS term FROM fl) x GROUP BY ALL),
 wv AS (SELECT sv.term, e.embedding FROM sv JOIN embeddings e
@@ -139,9 +146,18 @@ el AS (SELECT d.doc_id, d.tf, unnest(w.embedding)::DOUBLE AS val,
               generate_subscripts(w.embedding, 1) - 1 AS dim
        FROM dtf d JOIN wv w ON w.term = d.term),
 dims AS (SELECT DISTINCT generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
-sums AS (SELECT doc_id, dim, sum(tf * val) AS s FROM el GROUP BY ALL)
-SELECT t.doc_id, dims.dim::BIGINT AS dim, round(coalesce(sums.s, 0) / t.n, 6) AS value
-FROM tot t CROSS JOIN dims LEFT JOIN sums ON sums.doc_id = t.doc_id AND sums.dim = dims.dim""",
+sums AS (SELECT doc_id, dim, sum(tf * val) AS s FROM el GROUP BY ALL),
+pooled AS (SELECT t.doc_id, dims.dim, coalesce(sums.s, 0) / t.n AS value
+           FROM tot t CROSS JOIN dims LEFT JOIN sums ON sums.doc_id = t.doc_id AND sums.dim = dims.dim)"""
+
+ORACLE = {
+    "pooled_vectors": _POOLED + """
+SELECT doc_id, dim::BIGINT AS dim, round(value, 6) AS value FROM pooled""",
+    "linear_score_fixed": _POOLED + """,
+mg AS (SELECT doc_id, sum(value * ((dim * 37 % 11 - 5) / 5.0)) + 0.01 AS m FROM pooled GROUP BY doc_id)
+SELECT fl.doc_id, fl.label, CASE WHEN m > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+       round(1 / (1 + exp(-abs(m))), 6) AS probability
+FROM mg JOIN fl ON fl.doc_id = mg.doc_id WHERE NOT fl.is_train""",
     "batch_padding": _SEQ + f""",
 pos AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS p FROM fl),
 enc AS (SELECT doc_id, list(coalesce(sv.term_id, 0) ORDER BY p) AS ids
@@ -152,6 +168,8 @@ mx AS (SELECT batch, max(len(ids)) AS m FROM ord GROUP BY batch)
 SELECT doc_id, ord.batch::BIGINT AS batch, len(ids)::BIGINT AS n_ids, mx.m::BIGINT AS padded_len,
        array_to_string(list_concat(ids, list_transform(range(mx.m - len(ids)), lambda x: 1)), ',') AS padded_str
 FROM ord JOIN mx ON mx.batch = ord.batch""",
+    "preview_tokens": f"""WITH lt AS ({S.all_documents()})
+SELECT doc_id, array_to_string(tokens, ',') AS tokens_str FROM lt ORDER BY doc_id LIMIT 10""",
     "labelled_kv": f"""WITH lt AS ({S.labelled()}),
 ft AS (SELECT doc_id, label, {S.no_stop('tokens')} AS tokens FROM lt)
 SELECT doc_id, to_json(MAP {{'label': label, 'length': len(tokens)::INT}}) AS kv FROM ft WHERE len(tokens) > 0""",

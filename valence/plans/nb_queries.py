@@ -89,7 +89,7 @@ def nb_base_ctes(label="quality") -> str:
     return f"""WITH lt AS ({S.labelled(label)}),
 tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf
        FROM (SELECT doc_id, unnest(tokens) AS term FROM lt WHERE is_train) x GROUP BY ALL),
-v AS ({S.vocab('tf', 1 << 18)}),
+v AS ({S.vocab('tf')}),
 trn AS (SELECT doc_id, label FROM lt WHERE is_train),
 ttf AS (SELECT t.doc_id, r.label, t.term, t.tf FROM tf t JOIN trn r ON t.doc_id = r.doc_id
         JOIN v ON v.term = t.term),
@@ -148,13 +148,12 @@ m AS (SELECT sum(n_true) AS n, sum(tp) AS n_correct,
         avg(CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END) AS precision_macro,
         avg(CASE WHEN n_true > 0 THEN tp / n_true ELSE 0 END) AS recall_macro,
         avg(CASE WHEN n_true + n_pred > 0 THEN 2.0 * tp / (n_true + n_pred) ELSE 0 END) AS f1_macro,
-        sum(CASE WHEN class = 1 THEN tp / n_true END) AS tpr,
-        sum(CASE WHEN class <> 1 THEN tp END) AS tn,
-        sum(CASE WHEN class <> 1 THEN n_true END) AS n_neg
+        (SELECT avg(CASE WHEN prediction::DOUBLE = 1 THEN 1.0 ELSE 0 END) FROM {pred} WHERE label::DOUBLE = 1) AS tpr,
+        (SELECT avg(CASE WHEN prediction::DOUBLE <> 1 THEN 1.0 ELSE 0 END) FROM {pred} WHERE label::DOUBLE <> 1) AS tnr
       FROM pc)
 SELECT n::BIGINT AS n, round(n_correct / n, 9) AS accuracy, round(precision_macro, 9) AS precision_macro,
        round(recall_macro, 9) AS recall_macro, round(f1_macro, 9) AS f1_macro,
-       round((coalesce(tpr, 0) + coalesce(tn / n_neg, 0)) / 2, 9) AS auc
+       round((coalesce(tpr, 0) + coalesce(tnr, 0)) / 2, 9) AS auc
 FROM m"""
 
 

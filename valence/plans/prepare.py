@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 
 from valence.functions.text import clean_text, regex_tokens, remove_stop_words, word_tokens
 from valence.operators.split import split_flag
-from valence.sources.tables import labelled_text
+from valence.sources.tables import labelled_text, table
 
 SEED = 100
 TRAIN_FRACTION = 0.7
 
 
+def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, clean, tokens, words)`` of every document, labelled or not."""
+    return (table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("clean"))
+            .withColumn("tokens", regex_tokens("clean"))
+            .withColumn("words", word_tokens("clean")))
+
+
 def prepared(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
     """``(doc_id, label, clean, tokens, words, is_train)``.
 

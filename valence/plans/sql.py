@@ -42,6 +42,17 @@ def labelled(label: str = "quality") -> str:
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id) s"""
 
 
+def no_url(col: str) -> str:
+    return f"regexp_replace({col}, '[a-zA-Z]+://[^ ]*', ' ', 'g')"
+
+
+def all_documents() -> str:
+    """CTE body: (doc_id, clean, tokens, words) of every document."""
+    return f"""
+  SELECT doc_id, clean, {tokens('clean')} AS tokens, {words('clean')} AS words
+  FROM (SELECT doc_id, {clean('text')} AS clean FROM documents) s"""
+
+
 def vocab(tf_cte: str, max_size: int | None = None, min_count: int = 1, offset: int = 0) -> str:
     """CTE body: (term, term_id, cnt) from a (doc_id, term, tf) CTE."""
     cut = f"WHERE rn <= {max_size}" if max_size else ""

@@ -9,7 +9,7 @@ from valence.functions.text import (clean_text, join_tokens, remove_stop_words,
 from valence.operators import vocab as V
 from valence.operators.split import random_split, validation_split
 from valence.plans import sql as S
-from valence.plans.prepare import prepared, train_test, without_stop_words
+from valence.plans.prepare import prepared, tokenised, train_test, without_stop_words
 from valence.session import scratch_path
 from valence.sources.csv import read_labelled_csv, read_labelled_csv_strings, write_csv
 from valence.sources.tables import labelled_polarity, table
@@ -19,12 +19,11 @@ TOPV = 1000
 
 def q_clean_text(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select("doc_id", clean_text("text").alias("clean"),
-                    clean_text("text", strip_url=True).alias("clean_url"))
+    return d.select("doc_id", clean_text("text").alias("clean"))
 
 
 def q_tokens(spark, sf):
-    df = prepared(spark, sf).filter(F.size("tokens") > 0)
+    df = tokenised(spark, sf)
     s = join_tokens("tokens")
     return df.select(
         "doc_id",
@@ -37,7 +36,7 @@ def q_tokens(spark, sf):
 
 
 def q_stopword_filter(spark, sf):
-    df = prepared(spark, sf).withColumn("filtered", remove_stop_words("tokens"))
+    df = tokenised(spark, sf).withColumn("filtered", remove_stop_words("tokens"))
     return df.select("doc_id", F.size("filtered").cast("bigint").alias("n_filtered"),
                      join_tokens("filtered").alias("filtered_str"))
 
@@ -48,9 +47,11 @@ def q_polarity_label(spark, sf):
 
 def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")
-    rows = (table(spark, sf, "customer")
-            .select(F.col("c_custkey").alias("Id"), F.col("c_name").alias("Tweet"),
-                    F.col("c_acctbal").alias("Polarity")))
+    # every third text is empty or null, so that the two stay apart
+    text = F.when(F.col("doc_id") % 6 == 2, F.lit("")).when(F.col("doc_id") % 6 != 5, F.col("text"))
+    rows = (table(spark, sf, "documents")
+            .select(F.col("doc_id").alias("Id"), text.alias("Tweet"),
+                    ((F.col("n_chars") - 2000) / 4).alias("Polarity")))
     write_csv(rows, path)
     typed = read_labelled_csv(spark, path, "Id BIGINT, Tweet STRING, Polarity DOUBLE")
     strings = read_labelled_csv_strings(spark, path).select(
@@ -60,6 +61,25 @@ def q_csv_roundtrip(spark, sf):
                     F.col("Polarity").alias("polarity"), "label_from_text"))
 
 
+def q_split_export(spark, sf):
+    """The training split exported as ``label, length, tokens_str`` and
+    read back, as the sequence model's preparation does."""
+    path = scratch_path(spark, "split")
+    train, _ = train_test(spark, sf)
+    write_csv(train.select("label", F.size("tokens").alias("length"), join_tokens("tokens").alias("tokens_str")), path)
+    back = read_labelled_csv(spark, path, "label INT, length INT, tokens_str STRING")
+    return back.select("label", "length", "tokens_str",
+                       F.size(split_tokens("tokens_str")).cast("int").alias("n_roundtrip"))
+
+
+def q_clean_url(spark, sf):
+    """title and address of each page, the address removed."""
+    p = table(spark, sf, "pages").select(
+        "page_id", F.concat_ws(" ", F.regexp_extract("html", "<title>([^<]*)</title>", 1), "url").alias("text"))
+    return p.select("page_id", clean_text("text").alias("clean"),
+                    clean_text("text", strip_url=True).alias("clean_url"))
+
+
 def q_url_quote(spark, sf):
     p = table(spark, sf, "pages").select(
         "page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
@@ -78,7 +98,11 @@ def q_validation_split(spark, sf):
 
 
 def q_random_split(spark, sf):
-    return random_split(prepared(spark, sf).select("doc_id", "label"))
+    """Which rows fall into which part is up to the seed, so the query checks
+    what must hold: nothing lost, nothing twice, both parts used."""
+    parts = random_split(prepared(spark, sf).select("doc_id", "label"))
+    return parts.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_distinct"),
+                     F.countDistinct("split").alias("n_parts"))
 
 
 def q_corpus_words(spark, sf):
@@ -87,8 +111,7 @@ def q_corpus_words(spark, sf):
 
 
 def q_term_counts(spark, sf):
-    train, _ = train_test(spark, sf)
-    return V.term_frequencies(train, "tokens")
+    return V.term_frequencies(tokenised(spark, sf), "tokens")
 
 
 def q_vocab_counts(spark, sf):
@@ -121,6 +144,8 @@ QUERIES = {
     "stopword_filter": q_stopword_filter,
     "polarity_label": q_polarity_label,
     "csv_roundtrip": q_csv_roundtrip,
+    "split_export": q_split_export,
+    "clean_url": q_clean_url,
     "url_quote": q_url_quote,
     "hash_split": q_hash_split,
     "validation_split": q_validation_split,
@@ -134,6 +159,7 @@ QUERIES = {
 }
 
 _L = f"WITH lt AS ({S.labelled()})"
+_D = f"WITH lt AS ({S.all_documents()})"
 _TRAIN_TF = """tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf
               FROM (SELECT doc_id, unnest(tokens) AS term FROM lt WHERE is_train) x GROUP BY ALL)"""
 _FTRAIN_TF = f"""ft AS (SELECT doc_id, {S.no_stop('tokens')} AS tokens, is_train FROM lt),
@@ -145,32 +171,41 @@ sv AS (SELECT '<unk>' AS term, 0 AS term_id, 0::BIGINT AS cnt
        UNION ALL {S.vocab('ftf', min_count=4, offset=2)})"""
 
 ORACLE = {
-    "clean_text": f"""SELECT doc_id, {S.clean('text')} AS clean, {S.clean('text')} AS clean_url
-                      FROM documents""",
-    "tokens": f"""{_L}
+    "clean_text": f"SELECT doc_id, {S.clean('text')} AS clean FROM documents",
+    "clean_url": f"""SELECT page_id, {S.clean('text')} AS clean, {S.clean(S.no_url('text'))} AS clean_url
+FROM (SELECT page_id, concat_ws(' ', regexp_extract(html, '<title>([^<]*)</title>', 1), url) AS text FROM pages) p""",
+    "split_export": f"""{_L}
+SELECT label, len(tokens)::INT AS length, array_to_string(tokens, ',') AS tokens_str,
+       len(string_split(array_to_string(tokens, ','), ','))::INT AS n_roundtrip
+FROM lt WHERE is_train""",
+    "tokens": f"""{_D}
 SELECT doc_id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ',') AS tokens_str,
        len(string_split(array_to_string(tokens, ','), ','))::BIGINT AS n_roundtrip,
        list_max(list_transform(tokens, lambda x: length(x)))::BIGINT AS max_len,
        len(string_split(clean, ' '))::BIGINT AS n_split, len(words)::BIGINT AS n_words
-FROM lt WHERE len(tokens) > 0""",
-    "stopword_filter": f"""{_L}
+FROM lt""",
+    "stopword_filter": f"""{_D}
 SELECT doc_id, len(f)::BIGINT AS n_filtered, array_to_string(f, ',') AS filtered_str
 FROM (SELECT doc_id, {S.no_stop('tokens')} AS f FROM lt) x""",
     "polarity_label": """SELECT c_custkey AS id,
        CASE WHEN TRY_CAST(c_acctbal AS DOUBLE) < 0 THEN 0 ELSE 1 END AS label FROM customer""",
-    "csv_roundtrip": """SELECT c_custkey AS id, c_name AS text, c_acctbal AS polarity,
-       CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 END AS label_from_text FROM customer""",
+    "csv_roundtrip": """SELECT doc_id AS id,
+       CASE WHEN doc_id % 6 = 2 THEN '' WHEN doc_id % 6 <> 5 THEN text END AS text,
+       (n_chars - 2000) / 4 AS polarity, CASE WHEN n_chars < 2000 THEN 0 ELSE 1 END AS label_from_text
+FROM documents""",
     "url_quote": """SELECT page_id,
        replace(url_encode(regexp_extract(html, '<title>([^<]*)</title>', 1)), '%2F', '/') AS quoted
 FROM pages""",
     "hash_split": f"""SELECT d.doc_id, CASE WHEN {S.is_train('d.doc_id')} THEN 'train' ELSE 'test' END AS split
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+    "random_split": "SELECT count(*) AS n, count(DISTINCT doc_id) AS n_distinct, 2::BIGINT AS n_parts FROM documents JOIN labels USING (doc_id)",
     "validation_split": f"""SELECT d.doc_id, CASE WHEN {S.bucket('d.doc_id', 'v100')} < 70 THEN 'train' ELSE 'valid' END AS part
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE {S.is_train('d.doc_id')}""",
     "corpus_words": f"""{_L}
 SELECT DISTINCT unnest(string_split(clean, ' ')) AS term FROM lt WHERE is_train""",
-    "term_counts": f"""{_L}, {_TRAIN_TF} SELECT doc_id, term, tf FROM tf""",
-    "vocab_counts": f"""{_L}, {_TRAIN_TF} {S.vocab('tf', 1 << 18)}""",
+    "term_counts": f"""{_D}
+SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM lt) x GROUP BY ALL""",
+    "vocab_counts": f"""{_L}, {_TRAIN_TF} {S.vocab('tf')}""",
     "vocab_top1000": f"""{_L}, {_TRAIN_TF} {S.vocab('tf', TOPV)}""",
     "vocab_minfreq": f"""{_L}, {_FTRAIN_TF} SELECT * FROM sv""",
     "encode_ids": f"""{_L}, {_FTRAIN_TF},

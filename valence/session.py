@@ -29,6 +29,8 @@ DEFAULT_CONF = {
     # checkpoint files of frames the driver no longer references are removed
     # from the shared folder instead of accumulating there
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # small scans are cut into enough splits for the text work on them
+    "spark.sql.files.openCostInBytes": "262144",
 }
 
 
@@ -54,8 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, configuring it if unset.
 
     Order: the folder already set on the context, then the
-    ``spark.checkpoint.dir`` setting, and only when both are missing a
-    private temporary folder (local tests only).
+    ``spark.checkpoint.dir`` setting. Only a local master, where driver and
+    executors are one process, gets a private temporary folder; on a cluster
+    a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="valence-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

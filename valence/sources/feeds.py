@@ -3,26 +3,28 @@
 Feed A ``{"articles": [{"title", "description"}]}`` keyed by title, feed B
 ``{"articles": {"results": [{"uri", "title"}]}}`` keyed by uri, feed C
 ``{"stories": [{"id", "title"}]}`` keyed by id. Each payload also carries
-its ``page`` number and the offset ``first`` of its first item in that page,
-so article positions ``page * POS_STRIDE + first + index`` are stable.
-
-The live HTTP services are not available, so payloads are derived from the
-given tables in pages of bounded size and parsed back with pinned schemas.
-Feeds A and B page by ``id // PAGE_SIZE``; feed C pages by conversation,
+its ``page`` number and the offset ``first`` of its first item in that page;
+articles are ordered by ``(page, item)``, item being ``first`` plus the index.
+
+The live HTTP services are not available, so the articles are derived from the
+given tables: a document's title is its first line and its description all the
+rest, a page's title is its ``<title>`` (feed B carries titles only), and a
+turn's title is its text. :func:`articles` gives these rows as such; the
+payload functions write them as the services' JSON, in pages of bounded size,
+and parse it back with pinned schemas. Feeds A and B page by ``id // PAGE_SIZE``; feed C pages by conversation,
 and a conversation is cut into chunks of ``PAGE_SIZE`` turn numbers, so a
 very long conversation never becomes one unbounded payload.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valence.functions.text import title_with_description
 from valence.sources.tables import table
 
 PAGE_SIZE = 100
-POS_STRIDE = 1_000_000
 
 # Pinned payload schemas (only the fields the reference reads, plus page
 # and first).
@@ -43,28 +45,56 @@ def _paged(df: DataFrame, page: F.Column, order: F.Column, item: F.Column,
             .select("page", "first", F.col("_a.i").alias("items")))
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    at = F.locate("\n", text)
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text).alias("title"),
+        F.when(at > 0, F.substring(text, at + 1, F.length(text))).alias("description"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.col("url").alias("uri"),
+        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("title"))
+
+
+def _page(col: str) -> Column:
+    return F.floor(F.col(col) / PAGE_SIZE).cast("bigint")
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article rows ``(feed, key, page, item, title, text)`` of all three
+    feeds, straight from the tables; ``item`` orders the articles of a page."""
+    a = _documents(spark, sf_dir).select(
+        F.lit("A").alias("feed"), F.col("title").alias("key"), _page("doc_id").alias("page"),
+        F.col("doc_id").alias("item"), "title", title_with_description("title", "description").alias("text"))
+    b = _pages(spark, sf_dir).select(
+        F.lit("B").alias("feed"), F.col("uri").alias("key"), _page("page_id").alias("page"),
+        F.col("page_id").alias("item"), "title", F.col("title").alias("text"))
+    c = _turns(spark, sf_dir).select(
+        F.lit("C").alias("feed"), F.col("id").alias("key"), F.col("conv_id").alias("page"),
+        F.col("turn").alias("item"), "title", F.col("title").alias("text"))
+    return a.unionByName(b).unionByName(c)
+
+
 def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(feed, page, payload STRING)`` built from documents (A), pages (B)
     and conversations (C)."""
-    lines = F.split(F.col("text"), "\n")
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.get(lines, 0).alias("title"), F.get(lines, 1).alias("description"))
-    a = _paged(docs, F.floor(F.col("doc_id") / PAGE_SIZE).cast("bigint"), F.col("doc_id"),
-               F.struct("title", "description"))
+    a = _paged(_documents(spark, sf_dir), _page("doc_id"), F.col("doc_id"), F.struct("title", "description"))
     a = a.select(F.lit("A").alias("feed"), "page",
                  F.to_json(F.struct("page", "first", F.col("items").alias("articles"))).alias("payload"))
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id", F.col("url").alias("uri"),
-        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
-    b = _paged(pages, F.floor(F.col("page_id") / PAGE_SIZE).cast("bigint"), F.col("page_id"),
-               F.struct("uri", "title"))
+    b = _paged(_pages(spark, sf_dir), _page("page_id"), F.col("page_id"), F.struct("uri", "title"))
     b = b.select(F.lit("B").alias("feed"), "page",
                  F.to_json(F.struct("page", "first", F.struct(F.col("items").alias("results")).alias("articles")))
                  .alias("payload"))
-    conv = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("title"))
     chunk_first = (F.floor(F.col("turn") / PAGE_SIZE) * PAGE_SIZE).cast("bigint")
-    c = _paged(conv, F.col("conv_id"), F.col("turn"), F.struct("id", "title"), chunk_first)
+    c = _paged(_turns(spark, sf_dir), F.col("conv_id"), F.col("turn"), F.struct("id", "title"), chunk_first)
     c = c.select(F.lit("C").alias("feed"), "page",
                  F.to_json(F.struct("page", "first", F.col("items").alias("stories"))).alias("payload"))
     return a.unionByName(b).unionByName(c)
@@ -72,7 +102,7 @@ def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_payloads(payloads: DataFrame) -> DataFrame:
     """F16 + U1: ``(feed, page, payload)`` -> article rows
-    ``(feed, key, pos, title, text)`` of all three feeds."""
+    ``(feed, key, page, item, title, text)`` of all three feeds."""
     out = None
     for feed, schema in FEED_SCHEMAS.items():
         p = (payloads.filter(F.col("feed") == feed)
@@ -89,9 +119,8 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
             items = p.select("page", "first", F.posexplode("stories").alias("idx", "a")).select(
                 "page", "first", "idx", F.col("a.id").alias("key"), F.col("a.title").alias("title"),
                 F.col("a.title").alias("text"))
-        items = items.select(F.lit(feed).alias("feed"), "key",
-                             (F.col("page") * POS_STRIDE + F.coalesce("first", F.lit(0)) + F.col("idx"))
-                             .alias("pos"), "title", "text")
+        items = items.select(F.lit(feed).alias("feed"), "key", "page",
+                             (F.coalesce("first", F.lit(0)) + F.col("idx")).alias("item"), "title", "text")
         out = items if out is None else out.unionByName(items)
     return out
 
@@ -106,7 +135,3 @@ def read_feed_files(spark: SparkSession, path: str, feed: str) -> DataFrame:
 def write_payload_files(payloads: DataFrame, path: str) -> None:
     """JSON-lines payload files, one folder per feed (``feed=A`` ...)."""
     payloads.select("feed", "payload").write.mode("overwrite").partitionBy("feed").text(path)
-
-
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_payloads(payloads_from_tables(spark, sf_dir))

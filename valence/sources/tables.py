@@ -14,15 +14,8 @@ from valence.functions.text import binarise_polarity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table. A scan with fewer input splits than the cluster has
-    task slots (a file written as a single row group cannot be split) is
-    spread round-robin so the per-row text work runs in parallel; a large
-    table already has enough splits and is left alone."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df
+    """Scan one table; the session's split size decides the parallelism."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def labelled_text(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:

@@ -19,6 +19,7 @@ run as incremental batch jobs and resume after failure.
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,17 +31,23 @@ PAYLOAD_SCHEMA = "feed STRING, page BIGINT, payload STRING"
 _STATE_KEY = "spark.sql.streaming.stateStore.providerClass"
 _HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-HEADLINE_SCHEMA = "feed STRING, key STRING, kw_ord INT, leader STRING, pos BIGINT, text STRING"
+HEADLINE_SCHEMA = "feed STRING, key STRING, kw_ord INT, leader STRING, page BIGINT, item BIGINT, text STRING"
 
 
-def _disk_backed_state(spark: SparkSession) -> None:
+@contextlib.contextmanager
+def _disk_backed_state(spark: SparkSession):
     """De-duplication state grows with the number of distinct keys. The
     default provider keeps all of it on the executor heap; RocksDB keeps it
     on local disk with a bounded memory footprint. A stream records its
     provider in its checkpoint, so a restarted stream keeps the one it began
-    with."""
-    if spark.conf.get(_STATE_KEY) == _HEAP_STORE:
+    with. The caller's setting is put back afterwards."""
+    before = spark.conf.get(_STATE_KEY)
+    if before == _HEAP_STORE:
         spark.conf.set(_STATE_KEY, _ROCKSDB_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_KEY, before)
 
 
 def _run(writer, checkpoint: str):
@@ -51,23 +58,29 @@ def _run(writer, checkpoint: str):
 
 def dedup_articles(spark: SparkSession, source: str, sink: str, checkpoint: str,
                    files_per_batch: int = 1) -> None:
-    """R1 (unbounded): distinct ``(feed, key, pos, text)`` rows appended to
+    """R1 (unbounded): distinct ``(feed, key, page, item, text)`` rows appended to
     parquet under ``sink``; the first arrival of a key is kept."""
     s = (spark.readStream.schema(PAYLOAD_SCHEMA)
          .option("maxFilesPerTrigger", files_per_batch).json(source))
-    arts = parse_payloads(s).select("feed", "key", "pos", "text")
+    arts = parse_payloads(s).select("feed", "key", "page", "item", "text")
     d = arts.dropDuplicates(["feed", "key"])
-    _disk_backed_state(spark)
-    _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+    with _disk_backed_state(spark):
+        _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
 
 def dedup_events(spark: SparkSession, source_df: DataFrame, sink: str, checkpoint: str,
                  keys=("user_id", "event_type"), delay: str = "1 hour") -> None:
     """R1 (bounded): event-time de-duplication whose state expires with the
-    watermark."""
+    watermark.
+
+    Bounded state has a price that the caller chooses with ``delay``: a row
+    older than the newest row of the earlier batches less ``delay`` is late and
+    is dropped, even if its key was never seen, and a key that comes again more
+    than ``delay`` after its first row may be kept again. Within the delay every
+    repeat is dropped and no key is lost."""
     d = source_df.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
-    _disk_backed_state(spark)
-    _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+    with _disk_backed_state(spark):
+        _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
 
 def score_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, score_batch,
