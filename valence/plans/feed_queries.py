@@ -26,9 +26,10 @@ TEST_KEYWORDS = ("that", "was", "for", "with", "this", "are", "que", "anea", "de
                  "of the", "and the", "zu den")
 SEEN_KEYWORDS = 4   # keywords of an earlier run whose headlines count as published
 QUERY_DAYS = 10     # the test events span thirty days
-# Stream sources are written by parallel tasks; files of at most this many
-# records become separate micro-batches.
-FILE_RECORDS = 256
+# Stream sources are written by parallel tasks in files of at most this many
+# records; a micro-batch takes files up to this size.
+FILE_RECORDS = 1024
+STREAM_BYTES = 8 << 20
 
 
 def _kw(spark):
@@ -98,14 +99,21 @@ def q_publish_nb(spark, sf):
     return nb_records(model, FD.headlines(articles(spark, sf), _kw(spark)))
 
 
-def q_publish_knn(spark, sf):
-    train, _ = train_test(spark, sf)
-    model = K.fit(train.select("doc_id", "label", "words"))
-    docs = _headline_docs(FD.headlines(articles(spark, sf), _kw(spark)))
+def knn_records(model, h):
+    docs = _headline_docs(h)
     pred = K.predict(model, docs.select("doc_id", word_tokens(clean_text("text")).alias("words")))
     return sinks.polarity_records(docs.join(pred, "doc_id"), "knn")
 
 
+def _knn_model(spark, sf):
+    train, _ = train_test(spark, sf)
+    return K.fit(train.select("doc_id", "label", "words"))
+
+
+def q_publish_knn(spark, sf):
+    return knn_records(_knn_model(spark, sf), FD.headlines(articles(spark, sf), _kw(spark)))
+
+
 def q_publish_nb_files(spark, sf):
     root = scratch_path(spark, "publish")
     path = sinks.index_path(root)
@@ -118,7 +126,7 @@ def q_stream_dedup(spark, sf):
     src = os.path.join(root, "payloads")
     payloads_from_tables(spark, sf).write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
     sink = os.path.join(root, "articles")
-    ingest.dedup_articles(spark, src, sink, os.path.join(root, "_checkpoint"), files_per_batch=2)
+    ingest.dedup_articles(spark, src, sink, os.path.join(root, "_checkpoint"), STREAM_BYTES)
     return spark.read.parquet(sink).select("feed", "key")
 
 
@@ -136,17 +144,28 @@ def q_stream_dedup_events(spark, sf):
     return spark.read.parquet(sink).select("user_id", "event_type")
 
 
-def q_stream_publish(spark, sf):
+def stream_publish(spark, sf, records):
+    """The headlines as a stream of files, ``records(batch)`` published
+    for each micro-batch."""
     root = scratch_path(spark, "stream-publish")
     src = os.path.join(root, "headlines")
     FD.headlines(articles(spark, sf), _kw(spark)).write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
-    model, _ = nb_model(spark, sf)
     sink = sinks.index_path(os.path.join(root, "out"))
     ingest.score_stream(spark, src, sink, os.path.join(root, "_checkpoint"),
-                        lambda b: nb_records(model, b))
+                        records, STREAM_BYTES)
     return ingest.read_records(spark, sink)
 
 
+def q_stream_publish(spark, sf):
+    model, _ = nb_model(spark, sf)
+    return stream_publish(spark, sf, lambda b: nb_records(model, b))
+
+
+def q_stream_publish_knn(spark, sf):
+    model = _knn_model(spark, sf)
+    return stream_publish(spark, sf, lambda b: knn_records(model, b))
+
+
 QUERIES = {
     "feed_articles": q_feed_articles,
     "feed_source_filter": q_feed_source_filter,
@@ -163,6 +182,7 @@ QUERIES = {
     "stream_dedup": q_stream_dedup,
     "stream_dedup_events": q_stream_dedup_events,
     "stream_publish": q_stream_publish,
+    "stream_publish_knn": q_stream_publish_knn,
 }
 
 _KW_SQL = " UNION ALL ".join(f"SELECT {i} AS kw_ord, '{k}' AS leader" for i, k in enumerate(TEST_KEYWORDS))
@@ -233,4 +253,5 @@ FROM (SELECT event_type, event_id,
     "stream_dedup": _W + FEED_CTES + " SELECT DISTINCT feed, key FROM arts",
     "stream_dedup_events": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_publish": _NB_PUBLISH,
+    "stream_publish_knn": _KNN_PUBLISH,
 }

@@ -31,6 +31,9 @@ PAYLOAD_SCHEMA = "feed STRING, page BIGINT, payload STRING"
 _STATE_KEY = "spark.sql.streaming.stateStore.providerClass"
 _HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Input of one micro-batch: the number of batches follows the bytes that wait,
+# not the number of files.
+BATCH_BYTES = 256 << 20
 HEADLINE_SCHEMA = "feed STRING, key STRING, kw_ord INT, leader STRING, page BIGINT, item BIGINT, text STRING"
 
 
@@ -57,11 +60,11 @@ def _run(writer, checkpoint: str):
 
 
 def dedup_articles(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                   files_per_batch: int = 1) -> None:
+                   bytes_per_batch: int = BATCH_BYTES) -> None:
     """R1 (unbounded): distinct ``(feed, key, page, item, text)`` rows appended to
     parquet under ``sink``; the first arrival of a key is kept."""
     s = (spark.readStream.schema(PAYLOAD_SCHEMA)
-         .option("maxFilesPerTrigger", files_per_batch).json(source))
+         .option("maxBytesPerTrigger", bytes_per_batch).json(source))
     arts = parse_payloads(s).select("feed", "key", "page", "item", "text")
     d = arts.dropDuplicates(["feed", "key"])
     with _disk_backed_state(spark):
@@ -84,11 +87,11 @@ def dedup_events(spark: SparkSession, source_df: DataFrame, sink: str, checkpoin
 
 
 def score_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, score_batch,
-                 files_per_batch: int = 1) -> None:
+                 bytes_per_batch: int = BATCH_BYTES) -> None:
     """R2 + R3: ``score_batch(df) -> records(feed, key, value)`` applied to
     each micro-batch of headline files; output under ``sink/batch=<id>``."""
     s = (spark.readStream.schema(HEADLINE_SCHEMA)
-         .option("maxFilesPerTrigger", files_per_batch).json(source))
+         .option("maxBytesPerTrigger", bytes_per_batch).json(source))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch).write.mode("overwrite").json(os.path.join(sink, f"batch={batch_id}"))
