@@ -169,7 +169,7 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray) -> DataFrame:
         run, "doc_id long, lang_pred string, score double, langs array<string>, shares array<double>")
 
 
-def accept(docs: DataFrame, langs: list[str], probs: np.ndarray, least: float = 0.5) -> DataFrame:
+def accept(docs: DataFrame, langs: list[str], probs: np.ndarray, least: float = 0.25) -> DataFrame:
     """The rows of ``docs``, all columns, of which one language explains at
     least the share ``least``; texts without a letter go."""
     shared = docs.sparkSession.sparkContext.broadcast(probs)
