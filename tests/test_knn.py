@@ -73,3 +73,28 @@ def test_dense_knn_matches_numpy(spark):
         order = sorted(range(40), key=lambda j: (d2[j], j))[:5]
         c = Counter(int(tl[j]) for j in order)
         assert got[100 + i] == min(c, key=lambda y: (-c[y], y))
+
+
+def test_norms_rule_out_most_pairs(spark):
+    rng = np.random.default_rng(1)
+    size = np.exp(rng.uniform(0, 9, 400))   # norms over four orders of magnitude
+    vec = rng.normal(size=(400, 6)) * 0.05 + 1.0
+    vec *= (size / np.linalg.norm(vec, axis=1))[:, None]
+    rows = [(i, vec[i].tolist(), i % 3) for i in range(400)]
+    train = spark.createDataFrame(rows[:300], "t_id long, vec array<double>, label int")
+    q = spark.createDataFrame([r[:2] for r in rows[300:]], "q_id long, vec array<double>")
+    visits, blocks, *_ = K.route(q, train, 5, "dense", t_block_rows=20)
+    pairs = visits.select("q_id", "cls", "sub").join(blocks.select("t_id", "cls", "sub"), ["cls", "sub"]).count()
+    assert pairs < 0.35 * 100 * 300
+    got = {(r.q_id, r["rank"]): r.t_id for r in K.neighbours(q, train, 5, "dense", 16, 20).collect()}
+    for i in range(300, 400):
+        d2 = np.round(((vec[:300] - vec[i]) ** 2).sum(axis=1), 9)
+        assert [got[i, r] for r in range(1, 6)] == sorted(range(300), key=lambda j: (d2[j], j))[:5]
+
+
+def test_fewer_training_rows_than_neighbours_and_none(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [900.0, 0.0])], "q_id long, vec array<double>")
+    train = spark.createDataFrame([(1, [0.0, 0.0], 0), (2, [500.0, 0.0], 1)], "t_id long, vec array<double>, label int")
+    assert {(r.q_id, r.t_id) for r in K.neighbours(q, train, 5, "dense").collect()} == {(1, 1), (1, 2), (2, 1), (2, 2)}
+    assert K.neighbours(q, train.limit(0), 5, "dense").count() == 0
+    assert K.neighbours(q.limit(0), train, 5, "dense").count() == 0
