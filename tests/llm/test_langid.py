@@ -52,3 +52,14 @@ def test_nothing_learned_and_empty(spark):
     langs, probs = L.learn(docs(spark, []))
     assert [r.lang_pred for r in L.predict(docs(spark, [(1, "abc")]), langs, probs).collect()] == ["und"]
     assert L.predict(docs(spark, []), langs, probs).count() == 0
+
+
+def test_texts_that_no_learned_language_fits_go_and_mixtures_stay(spark):
+    rng = random.Random(5)
+    langs, probs = L.learn(train(spark, rng))
+    junk = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(40))
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki"
+    keep = [(i, " ".join(text(rng, lang, 20) for lang in rng.sample(sorted(WORDS), 1 + i % 3))) for i in range(30)]
+    away = [(100 + i, junk()) for i in range(10)] + [(200, finnish), (201, "δεν υπάρχει τίποτα καινούργιο κάτω από τον ήλιο")]
+    kept = L.accept(docs(spark, keep + away), langs, probs).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [i for i, _ in keep]

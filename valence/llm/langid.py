@@ -27,6 +27,8 @@ BUCKETS = 1 << 14
 ROUNDS = 12
 LEAST_SHARE = 0.02  # a language below this share joins no set
 SLICE = 1 << 20
+SLACK = 1.5  # nats a trigram by which a text's own subject may lower its likelihood
+ERRORS = 4  # standard errors by which chance may
 CELLS = 1 << 21  # trigram x language cells worked on at a time
 
 
@@ -169,9 +171,29 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray) -> DataFrame:
         run, "doc_id long, lang_pred string, score double, langs array<string>, shares array<double>")
 
 
+def fits(counts: list[np.ndarray], chosen: list[tuple[list[int], list[float]]], probs: np.ndarray) -> list[bool]:
+    """Whether each document is as likely under its mixture as texts of the
+    learned languages are: its log-likelihood a trigram may lie below what the
+    languages expect of their own trigrams by SLACK and ERRORS standard errors."""
+    logs, seen = np.log(probs), probs - probs.min(1, keepdims=True)  # what was learned, without the smoothing
+    seen = seen / np.maximum(seen.sum(1, keepdims=True), 1e-300)
+    mean = (seen * logs).sum(1)
+    var = (seen * logs ** 2).sum(1) - mean ** 2
+    out = []
+    for c, (which, share) in zip(counts, chosen):
+        at, share = np.flatnonzero(c), np.array(share)
+        n, own = c.sum(), share > 0
+        like = (c[at] * np.log(share @ probs[np.ix_(which, at)])).sum() / n
+        # each trigram may also cost the choice among the languages
+        expected = share @ mean[which] + (share[own] * np.log(share[own])).sum()
+        out.append(bool(like >= expected - SLACK - ERRORS * np.sqrt(share @ var[which] / n)))
+    return out
+
+
 def accept(docs: DataFrame, langs: list[str], probs: np.ndarray, least: float = 0.25) -> DataFrame:
     """The rows of ``docs``, all columns, of which one language explains at
-    least the share ``least``; texts without a letter go."""
+    least the share ``least`` and which the learned languages fit; texts
+    without a letter go."""
     shared = docs.sparkSession.sparkContext.broadcast(probs)
 
     def run(batches):
@@ -180,8 +202,10 @@ def accept(docs: DataFrame, langs: list[str], probs: np.ndarray, least: float =
             keep = []
             for at in range(0, len(texts), 256):
                 counts = [trigrams(t) if langs else None for t in texts[at:at + 256]]
-                found = iter(mixtures([x for x in counts if x is not None], shared.value))
-                keep += [x is not None and next(found)[1][0] >= least for x in counts]
+                some = [x for x in counts if x is not None]
+                found = mixtures(some, shared.value)
+                good = iter([m[1][0] >= least and f for m, f in zip(found, fits(some, found, shared.value) if some else [])])
+                keep += [x is not None and next(good) for x in counts]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
