@@ -84,3 +84,13 @@ def test_dense_family_and_empty_table(spark):
     cc = S.connected_components(S.links(df))
     assert cc.count() == len(fps) and cc.select("root").distinct().count() == 1
     assert S.simhash_components(docs(spark, [])).count() == 0
+
+
+def test_groups_that_share_their_smallest_id_keep_a_row_each(spark):
+    rng = random.Random(9)
+    one, two, three = (" ".join("w%d" % rng.randrange(10**6) for _ in range(60)) for _ in range(3))
+    rows = [(3, one), (5, one), (5, two), (7, two), (8, three), (8, two), (8, three), (9, three), (None, one)]
+    kept = S.one_of_each(docs(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("3", one), ("5", two), ("8", three), ("None", one)])
+    both = S.one_of_each(docs(spark, [(1, one), (1, two), (2, one), (2, two)])).collect()
+    assert sorted((r.doc_id, r.text) for r in both) == sorted([(1, one), (1, two)])

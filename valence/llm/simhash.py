@@ -235,7 +235,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(doc_id, fp, component_id)``, one row for each row of ``docs``."""
+    """``(doc_id, fp, root, component_id)``, one row for each row of ``docs``;
+    ``root`` is a fingerprint that names the component."""
     prints = materialise(fingerprints(docs, shingle), "simhash")
     # copies of any number become one row before anything is shuffled by key
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
@@ -244,8 +245,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     linked = materialise(linked, "simhash")
     least = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    component = linked.join(least, "root").select("fp", "component_id")
-    return prints.join(component, "fp").select("doc_id", "fp", "component_id")
+    component = linked.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(component, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -255,14 +256,20 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     found = materialise(simhash_components(docs, shingle, max_bits), "simhash")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
-    again = materialise(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    # ids with several rows: what becomes of a row depends on its fingerprint
+    again = materialise(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
                         .select("doc_id"), "simhash")
     if again.isEmpty():
         return kept.select(docs.columns)
-    first = Window.partitionBy("doc_id").orderBy("text")
-    shared = (kept.join(again, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first))
-              .where("_nth = 1").drop("_nth"))
-    return kept.join(again, "doc_id", "left_anti").unionByName(shared).select(docs.columns)
+    rows = docs.join(again, "doc_id", "left_semi")
+    fp = F.udf(lambda t: int(np.uint64(fingerprint((t or "").encode(), shingle)).astype(np.int64)), "long")
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"),
+                                                        F.col("root").alias("_group")).distinct()
+    first = Window.partitionBy("doc_id", "_group").orderBy("text")
+    rows = rows.withColumn("_print", fp("text"))
+    shared = (rows.join(stays, (F.col("doc_id") == F.col("_id")) & (F.col("_print") == F.col("_fp")))
+              .withColumn("_nth", F.row_number().over(first)).where("_nth = 1"))
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(shared.select(docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
