@@ -36,5 +36,6 @@ def test_stages_on_odd_and_empty_tables(spark):
             assert out.columns == df.columns
             df = spark.createDataFrame(out.collect(), out.schema)
         ids = [r.doc_id for r in df.collect()]
-        assert sorted(x for x in ids if x is not None) == (list(range(10)) if make else [])
+        # id 3 stands on two unlike texts, so each of its groups keeps a row
+        assert sorted(x for x in ids if x is not None) == (sorted([*range(10), 3]) if make else [])
         assert C.STAGES[-1][1](spark, df, SF).count() == len(ids)

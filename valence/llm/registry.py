@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_NAMES = ("passages", "toxicity", "line_dedup", "neighbours", "langid", "quality", "decontam", "mixing", "brown", "simhash")
+_NAMES = ("passages", "toxicity", "line_dedup", "neighbours", "langid", "quality", "decontam", "mixing", "brown", "simhash",
+          "credentials", "spelling", "alignment")
 
 
 def _modules() -> list:
