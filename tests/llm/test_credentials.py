@@ -42,18 +42,21 @@ def _prose(rng, n=60):
 
 def _corpus(seed=1):
     rng = random.Random(seed)
-    rows, planted = [], {}
+    rows, planted, values = [], {}, set()
     for i in range(900):
         text = _prose(rng)
         if i % 3 == 0:
             form = rng.choice(("hex", "ghp", "key", "AKIA"))
-            text += rng.choice((' token = "%s"', " api_key: %s", " PASSWORD='%s'", " apikey=%s ")) % _value(rng, form)
+            v = _value(rng, form)
+            values.add(v)
+            text += rng.choice((' token = "%s"', " api_key: %s", " PASSWORD='%s'", " apikey=%s ")) % v
         elif i % 20 == 1:
             v = _value(rng, rng.choice(("ghp", "key")))
             planted[i] = (len(text) + 5, len(text) + 5 + len(v))
+            values.add(v)
             text += " see " + v + " " + _prose(rng, 5)
         rows.append((i, text))
-    return rows, planted
+    return rows, planted, values
 
 
 ODD = [(1900, None), (1901, ""), (None, "password=abcdef"), (1902, "Password : 'abcde'"), (903, "token==abcdef secret:token=abc"),
@@ -63,7 +66,7 @@ ODD = [(1900, None), (1901, ""), (None, "password=abcdef"), (1902, "Password : '
 
 
 def test_base_spans_by_the_contract(spark):
-    rows, _ = _corpus()
+    rows = _corpus()[0]
     rows += ODD + rows[:3]
     df = docs(spark, rows)
     got = C.digest(C.scan(df, C.learn(df))).collect()
@@ -78,7 +81,8 @@ def test_base_spans_by_the_contract(spark):
 
 
 def test_learned_formats_are_found_without_their_keyword(spark):
-    rows, planted = _corpus()
+    rows, planted, values = _corpus()
+    texts = dict(rows)
     df = docs(spark, rows)
     added = {}
     for r in C.scan(df, C.learn(df)).collect():
@@ -88,7 +92,8 @@ def test_learned_formats_are_found_without_their_keyword(spark):
                 added.setdefault(r.doc_id, []).append((s.start, s.end))
     found = sum(planted[d] in added.get(d, ()) for d in planted)
     assert found >= 0.9 * len(planted), (found, len(planted))
-    assert all(planted.get(d) in spans and len(spans) == 1 for d, spans in added.items())  # prose stays alone
+    # prose stays alone; a credential may stand behind words that a base pattern takes for one
+    assert all(texts[d][s:e] in values for d, spans in added.items() for s, e in spans)
 
 
 def test_automaton_is_a_distribution_and_generalises():
