@@ -120,3 +120,8 @@ def test_empty(spark):
     assert A.aligned(docs(spark, [])).collect() == []
     got = A.aligned(docs(spark, [(1, None), (2, "")])).select(SCHEMA).collect()
     assert sorted(map(tuple, got)) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_no_token_crosses_a_cut():
+    for side in A.load(*(open(os.path.join(A.FOLDER, f), "rb").read() for f in (A.A_FILE, A.B_FILE))):
+        assert not any(A.CUT.search(p.decode("utf-8", "ignore")) for p in side.pieces)

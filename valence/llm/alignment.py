@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,16 +41,44 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MOST_FILE_BYTES = 64 << 20  # both files go to every executor
 BATCH_BYTES = 1 << 19
 HEAD = 1 << 18
+#: Neither tokenizer has a token across a blank between two of these characters, so the parts of a
+#: text that such blanks end are encoded on their own and equal parts once.
+CUT = re.compile("(?<=[!-~\u00c0-\u00ff]) (?=[!-~\u00c0-\u00ff])")
+HELD_CHARS = 1 << 23  # of parts that a worker remembers
 
 COLUMNS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class Side:
-    """A tokenizer: ids of texts, and each id's bytes and decimal digits."""
+    """A tokenizer: ``encode`` gives the ids of a blank and each given part,
+    ``pieces`` each id's bytes."""
 
     def __init__(self, encode, pieces: list[bytes]):
         self.encode, self.pieces = encode, pieces
         self.sizes = np.array([len(p) for p in pieces], np.int64)
+        self.known: dict[str, list[int]] = {}
+        self.changed: set[str] = set()  # parts whose tokens spell something else
+        self.held = 0
+
+    def spell(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids))
+
+    def ids(self, texts: list[list[str]]) -> list[list[int]]:
+        """Ids of texts in parts; none where they do not spell the text."""
+        if self.held > HELD_CHARS:
+            self.known, self.changed, self.held = {}, set(), 0
+        new = [p for p in set(chain.from_iterable(texts)) if p not in self.known]
+        for part, ids in zip(new, self.encode(new) if new else ()):
+            self.known[part] = ids
+            self.held += len(part)
+            if self.spell(ids) != (" " + part).encode():
+                self.changed.add(part)
+        out = []
+        for parts in texts:
+            ids = list(chain.from_iterable(map(self.known.__getitem__, parts)))
+            whole = self.changed.isdisjoint(parts) or self.spell(ids) == (" " + " ".join(parts)).encode()
+            out.append(ids if whole else [])
+        return out
 
 
 def byte_letters() -> dict[str, int]:
@@ -98,7 +128,7 @@ def load(a: bytes, b: bytes) -> tuple[Side, Side]:
 def _ranges(ids: list[list[int]], side: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(document, id, end)`` of all tokens, ends counted over the batch."""
     size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.concatenate([np.array(x, np.int64) for x in ids]) if len(ids) else np.zeros(0, np.int64)
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum()))
     return np.repeat(np.arange(len(ids)), size), flat, np.cumsum(side.sizes[flat])
 
 
@@ -112,11 +142,12 @@ def covering(doc: np.ndarray, start: np.ndarray, other_doc: np.ndarray, other_st
 def align(texts: list[bytes], a: Side, b: Side) -> list:
     """Columns of the texts: the four counts, the digest, and the distinct
     pairs ``a id << 32 | b id`` with their occurrences as lists."""
-    plain = [t.decode() for t in texts]
-    ids = [s.encode(plain) for s in (a, b)]
-    whole = [bool(t) and all(b"".join(map(s.pieces.__getitem__, x[i])) == b" " + t for s, x in zip((a, b), ids))
-             for i, t in enumerate(texts)]
-    ids_a, ids_b = ([x if ok else [] for x, ok in zip(side, whole)] for side in ids)
+    parts = [CUT.split(t.decode()) if t else [] for t in texts]
+    ids_a, ids_b = a.ids(parts), b.ids(parts)
+    for x, y in zip(ids_a, ids_b):
+        if not x or not y:
+            x.clear()
+            y.clear()
     doc_a, a_id, a_end = _ranges(ids_a, a)
     doc_b, b_id, b_end = _ranges(ids_b, b)
     a_start, b_start = a_end - a.sizes[a_id], b_end - b.sizes[b_id]
@@ -150,10 +181,10 @@ def align(texts: list[bytes], a: Side, b: Side) -> list:
     mark[place_a] = np.where(np.isin(a_end, ends, assume_unique=True), 1, 0)
     mark[place_b] = np.where(np.isin(b_end, ends, assume_unique=True), 2, 0)
     digits = _digits(max(len(a.pieces), len(b.pieces)))
-    parts = list(map(digits.__getitem__, (number * 3 + mark).tolist()))
+    marked = list(map(digits.__getitem__, (number * 3 + mark).tolist()))
     size = np.bincount(doc_a, minlength=n) + np.bincount(doc_b, minlength=n)
     stop = np.cumsum(size)
-    digest = ["" if not k else hashlib.sha256(b"".join(parts[e - k:e])[:-1]).hexdigest() for e, k in zip(stop.tolist(), size.tolist())]
+    digest = ["" if not k else hashlib.sha256(b"".join(marked[e - k:e])[:-1]).hexdigest() for e, k in zip(stop.tolist(), size.tolist())]
     return [np.bincount(doc_a, minlength=n), np.bincount(doc_b, minlength=n), n_groups, np.bincount(doc, minlength=n), digest,
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(sorted_pair[at])),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int32)))]
