@@ -92,6 +92,54 @@ def test_norms_rule_out_most_pairs(spark):
         assert [got[i, r] for r in range(1, 6)] == sorted(range(300), key=lambda j: (d2[j], j))[:5]
 
 
+def test_metric_index_rules_out_most_pairs_of_equal_norms(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 16))
+    vec = centres[rng.integers(0, 12, 700)] + rng.normal(size=(700, 16)) * 0.08
+    vec /= np.linalg.norm(vec, axis=1)[:, None]
+    vec[50] = vec[51] = vec[620]  # ties
+    rows = [(i, vec[i].tolist(), i % 3) for i in range(700)]
+    train = spark.createDataFrame(rows[:600], "t_id long, vec array<double>, label int").repartition(3)
+    q = spark.createDataFrame([r[:2] for r in rows[600:]], "q_id long, vec array<double>")
+    visits, blocks, *_ = K.route(q, train, 5, "dense", t_block_rows=20)
+    pairs = visits.select("q_id", "cls", "sub").join(blocks.select("t_id", "cls", "sub"), ["cls", "sub"]).count()
+    assert pairs < 0.2 * 100 * 600
+    assert blocks.groupBy("cls", "sub").count().agg({"count": "sum"}).first()[0] == 600
+    got = {(r.q_id, r["rank"]): r.t_id for r in K.neighbours(q, train, 5, "dense", 16, 20).collect()}
+    for i in range(600, 700):
+        d2 = np.round(((vec[:600] - vec[i]) ** 2).sum(axis=1), 9)
+        assert [got[i, r] for r in range(1, 6)] == sorted(range(600), key=lambda j: (d2[j], j))[:5]
+
+
+def test_cell_bounds_hold_for_every_row():
+    from valence.operators import balls as B
+
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(300, 5)), rng.normal(size=(40, 5)) * 2
+    pivots = B.choose(x[:100], 7)
+    dist = B.distances(x, pivots)
+    empty = np.zeros((0, 7))
+    edges = np.tile([0.8, 1.2, 1.6], (7, 1))
+    index = B.Balls(pivots, edges, np.zeros(0, np.int64), np.zeros(0, np.int64), empty, empty)
+    cells = index.cell(dist)
+    ids = np.unique(cells)
+    low, high = (np.stack([f(dist[cells == c], axis=0) for c in ids]) for f in (np.min, np.max))
+    index = B.Balls(pivots, edges, ids, np.array([(cells == c).sum() for c in ids]), low, high)
+    bounds = index.bounds(B.distances(q, pivots))
+    for at, c in enumerate(ids):
+        nearest = np.linalg.norm(q[:, None] - x[cells == c][None], axis=2).min(1)
+        assert (bounds[:, at] <= nearest + 1e-9).all()
+    assert (bounds > 0).mean() > 0.5
+    assert set(index.homes(B.distances(q, pivots), 3)) <= set(ids[index.counts >= 3])
+
+
+def test_equal_vectors_and_one_cell(spark):
+    train = spark.createDataFrame([(i, [1.0, 1.0], i % 2) for i in range(50)], "t_id long, vec array<double>, label int")
+    q = spark.createDataFrame([(1, [1.0, 1.0]), (2, [0.0, 5.0])], "q_id long, vec array<double>")
+    got = sorted((r.q_id, r["rank"], r.t_id) for r in K.neighbours(q, train, 3, "dense", 16, 10).collect())
+    assert got == [(i, r, r - 1) for i in (1, 2) for r in (1, 2, 3)]
+
+
 def test_fewer_training_rows_than_neighbours_and_none(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [900.0, 0.0])], "q_id long, vec array<double>")
     train = spark.createDataFrame([(1, [0.0, 0.0], 0), (2, [500.0, 0.0], 1)], "t_id long, vec array<double>, label int")
