@@ -103,10 +103,22 @@ def test_given_table(spark, tokenizers):
 
 
 def test_tokens_spell_their_texts():
-    sides = A.load(*(open(os.path.join(A.FOLDER, f), "rb").read() for f in (A.A_FILE, A.B_FILE)))
+    sides = A.load(*(open(os.path.join(A.FOLDER, f), "rb").read() for f in (A.A_FILE, A.B_FILE))).sides
     for text in ("plain words", "ünï 🙂", "tabs\tand\nlines", "\x00\x1f"):
         for side in sides:
             assert b"".join(side.pieces[i] for i in side.encode([text])[0]) == b" " + text.encode()
+            assert side.ids([text]) == side.encode([text])
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    texts = [(t or "").encode() for _, t in _rows()]
+    files = [open(os.path.join(A.FOLDER, f), "rb").read() for f in (A.A_FILE, A.B_FILE)]
+    memory = A.load(*files)
+    monkeypatch.setattr(A, "HELD_CHARS", 50)
+    plain = [x.to_pylist() if hasattr(x, "to_pylist") else list(x) for x in memory.texts(texts)]
+    for i, t in enumerate(texts):
+        one = [x.to_pylist() if hasattr(x, "to_pylist") else list(x) for x in memory.texts([t])]
+        assert one == [c[i:i + 1] for c in plain]
 
 
 def test_pairs_spell_overlaps(spark):
@@ -123,5 +135,5 @@ def test_empty(spark):
 
 
 def test_no_token_crosses_a_cut():
-    for side in A.load(*(open(os.path.join(A.FOLDER, f), "rb").read() for f in (A.A_FILE, A.B_FILE))):
+    for side in A.load(*(open(os.path.join(A.FOLDER, f), "rb").read() for f in (A.A_FILE, A.B_FILE))).sides:
         assert not any(A.CUT.search(p.decode("utf-8", "ignore")) for p in side.pieces)

@@ -1,10 +1,11 @@
 """Cross-tokenizer alignment by as-of merges.
 
 Both tokenizers cut the same bytes, so tokens are ranges of byte positions.
-Within a batch two as-of merges, keyed by document, find for each token's start
-the other side's token that covers it; both directions together are all
-overlapping pairs. Byte positions where tokens of both sides end cut a text
-into groups.
+A document falls into parts at blanks that no token of either side crosses;
+within a batch two as-of merges, keyed by part, find for each token's start the
+other side's token that covers it; both directions together are all overlapping
+pairs, and a part that comes again is not aligned again. Byte positions where
+tokens of both sides end cut a text into groups.
 
 The first pass keeps each document's distinct id pairs and how often each
 occurs. The documents that hold a pair are counted over the corpus; a table of
@@ -25,6 +26,7 @@ import hashlib
 import os
 import re
 import zlib
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -44,7 +46,7 @@ HEAD = 1 << 18
 #: Neither tokenizer has a token across a blank between two of these characters, so the parts of a
 #: text that such blanks end are encoded on their own and equal parts once.
 CUT = re.compile("(?<=[!-~\u00c0-\u00ff]) (?=[!-~\u00c0-\u00ff])")
-HELD_CHARS = 1 << 23  # of parts that a worker remembers
+HELD_CHARS = 1 << 22  # of parts that a worker remembers
 
 COLUMNS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -56,29 +58,11 @@ class Side:
     def __init__(self, encode, pieces: list[bytes]):
         self.encode, self.pieces = encode, pieces
         self.sizes = np.array([len(p) for p in pieces], np.int64)
-        self.known: dict[str, list[int]] = {}
-        self.changed: set[str] = set()  # parts whose tokens spell something else
-        self.held = 0
-
-    def spell(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
 
-    def ids(self, texts: list[list[str]]) -> list[list[int]]:
-        """Ids of texts in parts; none where they do not spell the text."""
-        if self.held > HELD_CHARS:
-            self.known, self.changed, self.held = {}, set(), 0
-        new = [p for p in set(chain.from_iterable(texts)) if p not in self.known]
-        for part, ids in zip(new, self.encode(new) if new else ()):
-            self.known[part] = ids
-            self.held += len(part)
-            if self.spell(ids) != (" " + part).encode():
-                self.changed.add(part)
-        out = []
-        for parts in texts:
-            ids = list(chain.from_iterable(map(self.known.__getitem__, parts)))
-            whole = self.changed.isdisjoint(parts) or self.spell(ids) == (" " + " ".join(parts)).encode()
-            out.append(ids if whole else [])
-        return out
+    def ids(self, parts: list[str]) -> list[list[int]]:
+        """Ids of the parts; none where they do not spell a blank and the part."""
+        return [ids if b"".join(map(self.pieces.__getitem__, ids)) == (" " + p).encode() else []
+                for p, ids in zip(parts, self.encode(parts))]
 
 
 def byte_letters() -> dict[str, int]:
@@ -117,11 +101,11 @@ def sentence_pieces(data: bytes) -> Side:
 _LOADED: dict = {}
 
 
-def load(a: bytes, b: bytes) -> tuple[Side, Side]:
-    """The two tokenizers, once for each Python worker."""
+def load(a: bytes, b: bytes) -> Memory:
+    """The two tokenizers and what has been aligned, once for each Python worker."""
     key = zlib.crc32(a), zlib.crc32(b)
     if key not in _LOADED:
-        _LOADED[key] = byte_level(a), sentence_pieces(b)
+        _LOADED[key] = Memory(byte_level(a), sentence_pieces(b))
     return _LOADED[key]
 
 
@@ -139,10 +123,19 @@ def covering(doc: np.ndarray, start: np.ndarray, other_doc: np.ndarray, other_st
     return pd.merge_asof(left, right, on="pos", by="doc")["token"].to_numpy(np.int64)
 
 
-def align(texts: list[bytes], a: Side, b: Side) -> list:
-    """Columns of the texts: the four counts, the digest, and the distinct
-    pairs ``a id << 32 | b id`` with their occurrences as lists."""
-    parts = [CUT.split(t.decode()) if t else [] for t in texts]
+@dataclass
+class Aligned:
+    """Alignments of parts: tokens on either side and groups as rows of
+    ``counts``, the groups in digits, and the links' pairs ``a id << 32 | b
+    id`` of all parts in turn, up to each part's ``ends``."""
+    counts: np.ndarray
+    groups: list[bytes]
+    pairs: np.ndarray
+    ends: np.ndarray
+
+
+def align(parts: list[str], a: Side, b: Side) -> Aligned:
+    """Alignments of parts; one that a side does not spell has no tokens."""
     ids_a, ids_b = a.ids(parts), b.ids(parts)
     for x, y in zip(ids_a, ids_b):
         if not x or not y:
@@ -151,26 +144,20 @@ def align(texts: list[bytes], a: Side, b: Side) -> list:
     doc_a, a_id, a_end = _ranges(ids_a, a)
     doc_b, b_id, b_end = _ranges(ids_b, b)
     a_start, b_start = a_end - a.sizes[a_id], b_end - b.sizes[b_id]
-    n = len(texts)
+    n = len(parts)
 
     # all overlapping pairs: the later start of a pair lies in the other token
     under_a, under_b = covering(doc_a, a_start, doc_b, b_start), covering(doc_b, b_start, doc_a, a_start)
     later = a_start[under_b] != b_start  # equal starts are found from both sides
     i = np.concatenate([np.arange(len(a_id)), under_b[later]])
     j = np.concatenate([under_a, np.flatnonzero(later)])
-    doc, pair = doc_a[i], a_id[i] << 32 | b_id[j]
-    order = np.lexsort((pair, doc))
-    sorted_doc, sorted_pair = doc[order], pair[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(sorted_doc) != 0) | (np.diff(sorted_pair) != 0)
-    at = np.flatnonzero(new)
-    times = np.diff(np.append(at, len(order)))
-    offsets = np.concatenate(([0], np.cumsum(np.bincount(sorted_doc[at], minlength=n)))).astype(np.int32)
+    doc = doc_a[i]
+    pairs = (a_id[i] << 32 | b_id[j])[np.argsort(doc, kind="stable")]
 
     # groups end where tokens of both sides end
     ends = np.intersect1d(a_end, b_end, assume_unique=True)
     group_a, group_b = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
-    n_groups = np.bincount(doc_a[np.searchsorted(a_end, ends)], minlength=n)
+    counts = np.stack([np.bincount(d, minlength=n) for d in (doc_a, doc_b, doc_a[np.searchsorted(a_end, ends)])], 1)
     # in the text of the groups a token stands after all tokens of earlier
     # groups and, on the second side, after those of its own group's first side
     place_a = np.arange(len(a_id)) + np.searchsorted(group_b, group_a, "left")
@@ -182,12 +169,74 @@ def align(texts: list[bytes], a: Side, b: Side) -> list:
     mark[place_b] = np.where(np.isin(b_end, ends, assume_unique=True), 2, 0)
     digits = _digits(max(len(a.pieces), len(b.pieces)))
     marked = list(map(digits.__getitem__, (number * 3 + mark).tolist()))
-    size = np.bincount(doc_a, minlength=n) + np.bincount(doc_b, minlength=n)
-    stop = np.cumsum(size)
-    digest = ["" if not k else hashlib.sha256(b"".join(marked[e - k:e])[:-1]).hexdigest() for e, k in zip(stop.tolist(), size.tolist())]
-    return [np.bincount(doc_a, minlength=n), np.bincount(doc_b, minlength=n), n_groups, np.bincount(doc, minlength=n), digest,
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(sorted_pair[at])),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int32)))]
+    size = counts[:, 0] + counts[:, 1]
+    groups = [b"".join(marked[e - k:e])[:-1] for e, k in zip(np.cumsum(size).tolist(), size.tolist())]
+    return Aligned(counts, groups, pairs, np.cumsum(np.bincount(doc, minlength=n)))
+
+
+class Memory:
+    """Alignments of the parts that a worker has met. Both sides have a token
+    that ends where a part does, so a text's alignment is that of its parts in
+    turn."""
+
+    def __init__(self, a: Side, b: Side):
+        self.sides = a, b
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.groups: list[bytes] = []
+        self.held = 0
+        self.counts = np.zeros((0, 3), np.int64)
+        self.starts, self.pairs = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, parts: set[str]) -> None:
+        """Align the parts that are not known."""
+        new = [p for p in parts if p not in self.place]
+        if not new:
+            return
+        found = align(new, *self.sides)
+        self.place.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+        self.held += sum(map(len, new))
+        self.groups += found.groups
+        self.counts = np.concatenate([self.counts, found.counts])
+        self.starts = np.concatenate([self.starts, found.ends + len(self.pairs)])
+        self.pairs = np.concatenate([self.pairs, found.pairs])
+
+    def texts(self, texts: list[bytes]) -> list:
+        """Columns of the texts: the four counts, the digest, and the distinct
+        pairs with their occurrences as lists."""
+        if self.held > HELD_CHARS:
+            self.forget()
+        parts = [CUT.split(t.decode()) if t else [] for t in texts]
+        self.learn(set(chain.from_iterable(parts)))
+        known = [[self.place[p] for p in x] for x in parts]
+        # where a part is not spelled, the whole text decides
+        unlike = [i for i, x in enumerate(known) if not self.counts[x, 0].all()]
+        whole = {i: texts[i].decode() for i in unlike}
+        self.learn(set(whole.values()))
+        for i, t in whole.items():
+            known[i] = [self.place[t]]
+        n = len(texts)
+        at = np.fromiter(chain.from_iterable(known), np.int64)
+        doc = np.repeat(np.arange(n), np.fromiter(map(len, known), np.int64, n))
+        counts = np.zeros((n, 3), np.int64)
+        np.add.at(counts, doc, self.counts[at])
+        size = self.starts[at + 1] - self.starts[at]
+        stop = np.cumsum(size)
+        pair = self.pairs[np.repeat(self.starts[at] - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)]
+        doc = np.repeat(doc, size)
+        order = np.lexsort((pair, doc))
+        pair, links = pair[order], np.bincount(doc, minlength=n)
+        new = np.ones(len(pair), bool)
+        new[1:] = (np.diff(doc[order]) != 0) | (np.diff(pair) != 0)
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(pair)))
+        offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc[order][first], minlength=n)))).astype(np.int32))
+        digest = [hashlib.sha256(b";".join(map(self.groups.__getitem__, x))).hexdigest() if k else ""
+                  for x, k in zip(known, counts[:, 0].tolist())]
+        return [*counts.T, links, digest, pa.ListArray.from_arrays(offsets, pa.array(pair[first])),
+                pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))]
 
 
 _TEXTS: dict[int, list[bytes]] = {}
@@ -229,11 +278,11 @@ def encoded(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
                         ("pairs", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
 
     def run(batches):
-        a, b = load(*shared.value)
+        memory = load(*shared.value)
         for batch in batches:
             for part, texts in slices(batch, BATCH_BYTES):
                 distinct = {t: i for i, t in enumerate(dict.fromkeys(texts))}  # copies are encoded once
-                columns = align(list(distinct), a, b)
+                columns = memory.texts(list(distinct))
                 table = pa.table([pa.array(c) if not isinstance(c, pa.Array) else c for c in columns], names=schema.names[1:])
                 if len(distinct) < len(texts):
                     table = table.take(pa.array([distinct[t] for t in texts]))
