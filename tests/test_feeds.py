@@ -46,6 +46,18 @@ def test_first_n_cuts_before_dedup(spark):
     assert FD.headlines(arts, kw).count() == 15
 
 
+def test_repeated_articles_give_one_headline(spark):
+    """Repeated rows, also with another text under one position, stay one
+    headline, so joins on its key do not multiply."""
+    arts = spark.createDataFrame(
+        [("A", "k1", 0, 1, "b rain"), ("A", "k1", 0, 1, "b rain"), ("A", "k1", 0, 1, "a rain"),
+         ("A", "k2", 0, 2, "snow"), ("B", None, 1, 1, "rain snow"), ("B", None, 1, 1, "rain snow")],
+        "feed string, key string, page long, item long, text string")
+    kw = FD.keyword_table(spark, ["rain", "snow"])
+    got = sorted((r.feed, r.key or "", r.leader, r.text) for r in FD.headlines(arts, kw).collect())
+    assert got == [("A", "k1", "rain", "a rain"), ("A", "k2", "snow", "snow"), ("B", "", "rain", "rain snow")]
+
+
 def test_unseen_drops_published_keys(spark):
     rows = spark.createDataFrame([("A", "a"), ("B", "a"), ("A", "b")], "feed string, key string")
     seen = spark.createDataFrame([("A", "a")], "feed string, key string")

@@ -83,13 +83,14 @@ def headlines(arts: DataFrame, keywords: DataFrame, n: int | None = None) -> Dat
     """The reference's news list: the articles matching each keyword, each feed
     key kept once under its first keyword; with ``n``, only the first ``n``
     articles of each feed and keyword count.
-    ``(feed, key, kw_ord, leader, page, item, text)``."""
+    ``(feed, key, kw_ord, leader, page, item, text)``. Articles that repeat
+    their feed, key and position give one headline, with the least text."""
     m = match_keywords(arts, keywords)
     kept = first_per_key(m if n is None else first_n_per_keyword(m, n).drop("rank"))
     ids = ["feed", "key", "page", "item"]
     same = [F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ids]
     return (kept.alias("h").join(arts.select(*ids, "text").alias("t"), same)
-            .select("h.feed", "h.key", "h.kw_ord", "h.leader", "h.page", "h.item", "t.text"))
+            .groupBy("h.feed", "h.key", "h.kw_ord", "h.leader", "h.page", "h.item").agg(F.min("t.text").alias("text")))
 
 
 def recent(df: DataFrame, ts_col: str = "ts", days: int = RECENT_DAYS) -> DataFrame:

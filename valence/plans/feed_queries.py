@@ -15,7 +15,7 @@ from valence.plans import sql as S
 from valence.plans.knn_queries import knn_ctes
 from valence.plans.nb_queries import nb_model, nb_pred_ctes
 from valence.plans.prepare import train_test
-from valence.session import scratch_path
+from valence.session import freeze, scratch_path
 from valence.sources import sinks
 from valence.sources.feeds import articles, parse_payloads, payloads_from_tables
 from valence.sources.tables import table
@@ -85,7 +85,9 @@ def q_events_newest_page(spark, sf):
 
 
 def _headline_docs(h):
-    return h.select(F.concat_ws(":", "feed", "key").alias("doc_id"), "feed", "key", "leader", "text")
+    """The headlines as documents, computed once: the models read them several
+    times and the records once more."""
+    return freeze(h.select(F.concat_ws(":", "feed", "key").alias("doc_id"), "feed", "key", "leader", "text"))
 
 
 def nb_records(model, h):
