@@ -133,6 +133,18 @@ def test_cell_bounds_hold_for_every_row():
     assert set(index.homes(B.distances(q, pivots), 3)) <= set(ids[index.counts >= 3])
 
 
+def test_queries_and_training_rows_of_one_table(spark):
+    rows = [(i, [float(i % 7), float(i % 11)], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
+    q, train = (df.where(f"id % 5 {op} 0") for op in ("=", "<>"))
+    q, train = q.selectExpr("id as q_id", "vec"), train.selectExpr("id as t_id", "label", "vec")
+    for block in (1000, 6):  # one cell and several
+        got = {(r.q_id, r["rank"]): r.t_id for r in K.neighbours(q, train, 3, "dense", 16, block).collect()}
+        for i, v, _ in rows[::5]:
+            d2 = {j: round((w[0] - v[0]) ** 2 + (w[1] - v[1]) ** 2, 9) for j, w, _ in rows if j % 5}
+            assert [got[i, r] for r in (1, 2, 3)] == sorted(d2, key=lambda j: (d2[j], j))[:3]
+
+
 def test_equal_vectors_and_one_cell(spark):
     train = spark.createDataFrame([(i, [1.0, 1.0], i % 2) for i in range(50)], "t_id long, vec array<double>, label int")
     q = spark.createDataFrame([(1, [1.0, 1.0]), (2, [0.0, 5.0])], "q_id long, vec array<double>")
