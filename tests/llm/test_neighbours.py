@@ -58,3 +58,12 @@ def test_rows_without_id_and_empty(spark):
     got = N.near_duplicates(spark.createDataFrame([(None, [1.0, 2.0], 1), (4, [1.0, 2.0], 1)], SCHEMA)).collect()
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == [("4", 0, "4"), ("None", 0, "None")]
     assert N.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_labels_of_any_type_link_only_when_equal(spark):
+    v = [1.0, 2.0, 3.0, 4.0]
+    for kind, (a, b) in {"double": (1.2, 1.7), "string": ("cat", "dog"), "long": (1, 1 + 2**32), "boolean": (True, False)}.items():
+        df = spark.createDataFrame([(1, v, a), (2, v, b), (3, v, a), (4, v, None), (5, v, None)],
+                                   f"vec_id long, embedding array<float>, label {kind}")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_duplicates(df).collect()}
+        assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (0, 4), 5: (0, 5)}, kind

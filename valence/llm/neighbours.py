@@ -16,6 +16,7 @@ different tasks; every home meets every probe in exactly one tile.
 Defined cases: vectors that are null, empty, zero or hold a null or
 non-finite component, and vectors without a label or an id, link with nothing
 (component: their own id); vectors of different lengths are not compared;
+labels may be of any type that Spark can hash;
 repeated rows are vectors of their own that link with each other; ids are
 expected to name one vector; an empty table gives an empty result.
 """
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from valence.llm.common import column, connected_components, materialise, read_table, record
 
@@ -87,7 +89,7 @@ def cells(vectors: DataFrame, cosine: float, carry: bool) -> DataFrame:
     """``(key, home, block, vec_id[, label, copies, embedding])``: the home cell and the
     probed cells of each vector in each block."""
     fields = [("key", pa.int64()), ("home", pa.bool_()), ("block", pa.int32()), ("vec_id", pa.int64())]
-    fields += [("label", pa.int32()), ("copies", pa.int64()), ("embedding", pa.list_(pa.float64()))] if carry else []
+    fields += [("label", pa.int64()), ("copies", pa.int64()), ("embedding", pa.list_(pa.float64()))] if carry else []
     schema = pa.schema(fields)
 
     def run(batches):
@@ -100,7 +102,7 @@ def cells(vectors: DataFrame, cosine: float, carry: bool) -> DataFrame:
                     x = turned[:, s][:, :LEADING]
                     home = np.floor(x / (CELL * r))
                     low, high = np.floor((x - r) / (CELL * r)), np.floor((x + r) / (CELL * r))
-                    prefix = np.stack((label[rows], np.full(len(rows), dim), np.full(len(rows), k)), 1)
+                    prefix = np.stack((label[rows] & (1 << 48) - 1, np.full(len(rows), dim), np.full(len(rows), k)), 1)
                     sets = [(True, np.arange(len(rows)), home)]
                     for ends in itertools.product((0, 1), repeat=x.shape[1]):
                         up = np.array(ends, bool)
@@ -114,7 +116,7 @@ def cells(vectors: DataFrame, cosine: float, carry: bool) -> DataFrame:
                         yield record(schema, out + [column(batch, n).take(back) for n in names])
 
     text = "key long, home boolean, block int, vec_id long"
-    return vectors.mapInArrow(run, text + (", label int, copies long, embedding array<double>" if carry else ""))
+    return vectors.mapInArrow(run, text + (", label long, copies long, embedding array<double>" if carry else ""))
 
 
 def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -224,9 +226,17 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     return cell_links(tiled, cosine)
 
 
+def _label(embeddings: DataFrame) -> Column:
+    """Whole numbers as they are; labels of other types by a 64-bit hash, null
+    if null."""
+    if isinstance(embeddings.schema["label"].dataType, IntegralType):
+        return F.col("label").cast("long")
+    return F.when(F.col("label").isNotNull(), F.xxhash64("label"))
+
+
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row for each vector."""
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), _label(embeddings).alias("label"),
                              F.col("embedding").cast("array<double>").alias("embedding"))
     key = [F.xxhash64(F.lit(s), "label", "embedding").alias(f"_h{s}") for s in (1, 2)]
     usable = F.coalesce(_usable(), F.lit(False))
