@@ -43,3 +43,13 @@ def test_empty_table_and_clashing_names(spark):
     df = docs(spark, [(1, "a\nb")]).selectExpr("*", "'x' as n_lines", "'y' as line", "1 as pos")
     row = L.line_dedup(df).first()
     assert (row.n_lines, row.line, row.pos, row.text) == (2, "y", 1, "a\nb")
+
+
+def test_names_used_inside_pass_through(spark):
+    own = {"_gone": "a", "_all": "b", "_r1": "c", "_r2": "d", "_row": "e", "_h1": "f", "_key": "g"}
+    df = docs(spark, [(i, "line one\nown %d" % i) for i in range(6)]).selectExpr("*", *(f"'{v}' as {k}" for k, v in own.items()))
+    got = L.line_dedup(df, 5, 3)
+    assert got.columns == [*df.columns, "n_lines", "n_dropped"]
+    rows = {r.doc_id: r for r in got.collect()}
+    assert all(rows[i].text == (f"line one\nown {i}" if i == 5 else f"own {i}") and all(rows[i][k] == v for k, v in own.items())
+               for i in range(6))

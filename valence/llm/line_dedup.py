@@ -62,13 +62,14 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     gone = (repeated_lines(base, min_chars, min_docs)
             .groupBy("_r1", "_r2").agg(F.collect_set("_pos").alias("_gone")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(
+    text = F.when(F.col("_gone").isNull(), F.coalesce("_row.text", F.lit(""))).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(F.col("_all"), i)), "\n"))
-    others = [c for c in base.columns if c != "text"]
-    return (base.withColumns({"_r1": _row_hash()[0], "_r2": _row_hash()[1]})
+    kept_columns = [text.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in base.columns]
+    # the caller's columns travel in one struct, so none of them can meet a name used here
+    return (base.select(F.struct(*base.columns).alias("_row"), *_row_hash())
             .join(gone, ["_r1", "_r2"], "left")
-            .withColumn("_all", _lines(F.col("text")))
-            .select(*others, text.alias("text"), F.size("_all").cast("long").alias("n_lines"),
+            .withColumn("_all", _lines(F.col("_row.text")))
+            .select(*kept_columns, F.size("_all").cast("long").alias("n_lines"),
                     F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped")))
 
 
