@@ -94,3 +94,15 @@ def test_groups_that_share_their_smallest_id_keep_a_row_each(spark):
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("3", one), ("5", two), ("8", three), ("None", one)])
     both = S.one_of_each(docs(spark, [(1, one), (1, two), (2, one), (2, two)])).collect()
     assert sorted((r.doc_id, r.text) for r in both) == sorted([(1, one), (1, two)])
+
+
+def test_names_used_inside_pass_through(spark):
+    rng = random.Random(10)
+    one, two = (" ".join("w%d" % rng.randrange(10**6) for _ in range(60)) for _ in range(2))
+    own = {n: n + "!" for n in ("_fp", "_id", "_group", "_print", "_nth", "fp", "root", "nth", "row", "component_id")}
+    df = docs(spark, [(1, one), (1, two), (2, one), (2, two), (2, None), (3, None)]).selectExpr(
+        "*", *(f"'{v}' as {k}" for k, v in own.items()))
+    kept = S.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, str(r.text)) for r in kept.collect()) == sorted([(1, one), (1, two), (2, "None")])
+    assert all(r[k] == v for r in kept.collect() for k, v in own.items())

@@ -33,7 +33,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valence.llm.common import column, connected_components, materialise, read_table, record, utf8
@@ -249,6 +249,14 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     return prints.join(component, "fp").select("doc_id", "fp", "root", "component_id")
 
 
+def _with_text(batches, shingle: int):
+    """``(doc_id, text, fp)`` of distinct texts."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("fp", pa.int64())])
+    for b in batches:
+        fps = np.array([fingerprint(t, shingle) for t in utf8(b, "text")], np.uint64)
+        yield record(schema, [column(b, "doc_id"), column(b, "text"), fps.view(np.int64)])
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: of each component the row
     with the smallest id (of rows that share it, the one with the smallest
@@ -261,15 +269,18 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
                         .select("doc_id"), "simhash")
     if again.isEmpty():
         return kept.select(docs.columns)
-    rows = docs.join(again, "doc_id", "left_semi")
-    fp = F.udf(lambda t: int(np.uint64(fingerprint((t or "").encode(), shingle)).astype(np.int64)), "long")
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"),
-                                                        F.col("root").alias("_group")).distinct()
-    first = Window.partitionBy("doc_id", "_group").orderBy("text")
-    rows = rows.withColumn("_print", fp("text"))
-    shared = (rows.join(stays, (F.col("doc_id") == F.col("_id")) & (F.col("_print") == F.col("_fp")))
-              .withColumn("_nth", F.row_number().over(first)).where("_nth = 1"))
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(shared.select(docs.columns))
+    # such rows travel in one struct, so none of their columns can meet a name used here
+    rows = docs.join(again, "doc_id", "left_semi").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+        F.struct(*docs.columns).alias("row"))
+    texts = rows.select("doc_id", "text").distinct()
+    prints = texts.mapInArrow(functools.partial(_with_text, shingle=shingle), "doc_id long, text string, fp long")
+    stays = found.where("doc_id = component_id").select("doc_id", "fp", "root").distinct()
+    least = prints.join(stays, ["doc_id", "fp"]).groupBy("doc_id", "root").agg(F.min("text").alias("text"))
+    # equal texts of one id become one row before the shuffle
+    shared = (rows.join(least, ["doc_id", "text"], "left_semi")
+              .groupBy("doc_id", "text").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*"))
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(shared)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
