@@ -56,6 +56,18 @@ def match_keywords(arts: DataFrame, keywords: DataFrame) -> DataFrame:
     return candidates.where("_one").drop("_one").unionByName(found)
 
 
+def match_rows(arts: DataFrame, leaders) -> DataFrame:
+    """:func:`match_keywords` without a second look at ``arts``, so that it
+    also runs on a stream; every column of ``arts`` stays. Only words that
+    begin a keyword of the list are exploded, at most one row for each."""
+    keywords = keyword_table(arts.sparkSession, leaders).withColumn("_w", F.get(F.split("leader", " "), 0))
+    first = [r._w for r in keywords.select("_w").distinct().collect()]  # as long as the caller's own list
+    clean = clean_text("text")
+    begun = F.array_intersect(F.split(clean, " "), F.array(*map(F.lit, first)).cast("array<string>"))
+    return (arts.withColumn("_w", F.explode(begun)).join(keywords, "_w")
+            .where(_phrase_in(clean, F.col("leader"))).drop("_w"))
+
+
 def first_n_per_keyword(matches: DataFrame, n: int = FIRST_N) -> DataFrame:
     """The first ``n`` articles of each (feed, keyword) by position.
     Catalyst plans a partial WindowGroupLimit before the shuffle, so a hot

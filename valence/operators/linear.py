@@ -87,6 +87,13 @@ class LinearModel:
         return F.aggregate(products, F.lit(self.weights[-1]), lambda a, x: a + x)
 
 
+def cross_entropy(margin: Column, label: str | Column = "label") -> Column:
+    """The loss of one row from its margin."""
+    label = F.col(label) if isinstance(label, str) else label
+    m = F.when(label > 0, margin).otherwise(-margin)
+    return F.greatest(-m, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m)))
+
+
 def score(model: LinearModel, docs: DataFrame) -> DataFrame:
     """M12 + F22: ``(doc_id, [label], prediction, probability)`` where
     probability is the softmax probability of the predicted class."""

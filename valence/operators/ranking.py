@@ -12,7 +12,7 @@ driver from the per-partition counts and broadcast. The result is the exact
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from valence.session import freeze
@@ -33,3 +33,21 @@ def global_row_number(df: DataFrame, order_cols, out_col: str = "rn") -> DataFra
     return (frozen.join(F.broadcast(offsets), "_pid")
             .withColumn(out_col, F.col("_off") + F.col("_pos") + 1)
             .drop("_pid", "_pos", "_off"))
+
+
+def prefix_sum(df: DataFrame, order_cols, value: str, out_col: str = "before") -> DataFrame:
+    """``df`` with the sum of the whole numbers ``value`` over all rows before
+    each row, 0 for the first. Like :func:`global_row_number` it ranges the rows
+    over partitions, sums within each and adds the sums of the ones before."""
+    spark = df.sparkSession
+    frozen = freeze(df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()))
+    sums = sorted(tuple(r) for r in frozen.groupBy("_pid").agg(F.sum(value)).collect())
+    rows, run = [], 0
+    for pid, n in sums:
+        rows.append((pid, run))
+        run += n or 0
+    offsets = spark.createDataFrame(rows or [(0, 0)], "_pid int, _off bigint")
+    own = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (frozen.join(F.broadcast(offsets), "_pid")
+            .withColumn(out_col, F.col("_off") + F.coalesce(F.sum(value).over(own), F.lit(0)))
+            .drop("_pid", "_off"))

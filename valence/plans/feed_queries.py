@@ -11,6 +11,7 @@ from valence.functions.text import clean_text, regex_tokens, word_tokens
 from valence.operators import feeds as FD
 from valence.operators import knn as K
 from valence.operators import naive_bayes as NB
+from valence.operators import search_index as SI
 from valence.plans import sql as S
 from valence.plans.knn_queries import knn_ctes
 from valence.plans.nb_queries import nb_model, nb_pred_ctes
@@ -146,6 +147,32 @@ def q_stream_dedup_events(spark, sf):
     return spark.read.parquet(sink).select("user_id", "event_type")
 
 
+def _article_files(spark, sf, root):
+    src = os.path.join(root, "articles")
+    articles(spark, sf).select("feed", "key", "page", "item", "text").write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
+    return src
+
+
+def q_index_matches(spark, sf):
+    """S12 + P10: the articles stream into a search index, its segments are
+    merged, and the keywords are answered from the index alone."""
+    root = scratch_path(spark, "index")
+    index = os.path.join(root, "words")
+    ingest.index_stream(spark, _article_files(spark, sf, root), index, os.path.join(root, "_checkpoint"), STREAM_BYTES)
+    SI.merge(spark, index)
+    SI.vacuum(spark, index)
+    return SI.search(spark, index, TEST_KEYWORDS).select("feed", "key", "kw_ord", "leader")
+
+
+def q_stream_headlines(spark, sf):
+    """R1 + W2: the first headline of each key from a stream of articles."""
+    root = scratch_path(spark, "stream-headlines")
+    sink = os.path.join(root, "out")
+    ingest.first_headlines(spark, _article_files(spark, sf, root), sink, os.path.join(root, "_checkpoint"),
+                           TEST_KEYWORDS, STREAM_BYTES)
+    return ingest.read_headlines(spark, sink).select("feed", "key", "kw_ord", "leader", "text")
+
+
 def stream_publish(spark, sf, records):
     """The headlines as a stream of files, ``records(batch)`` published
     for each micro-batch."""
@@ -183,6 +210,8 @@ QUERIES = {
     "publish_nb_files": q_publish_nb_files,
     "stream_dedup": q_stream_dedup,
     "stream_dedup_events": q_stream_dedup_events,
+    "index_matches": q_index_matches,
+    "stream_headlines": q_stream_headlines,
     "stream_publish": q_stream_publish,
     "stream_publish_knn": q_stream_publish_knn,
 }
@@ -254,6 +283,8 @@ FROM (SELECT event_type, event_id,
     "publish_nb_files": _NB_PUBLISH,
     "stream_dedup": _W + FEED_CTES + " SELECT DISTINCT feed, key FROM arts",
     "stream_dedup_events": "SELECT DISTINCT user_id, event_type FROM events",
+    "index_matches": _W + FEED_CTES + " SELECT feed, key, kw_ord, leader FROM mt",
+    "stream_headlines": _W + FEED_CTES + " SELECT feed, key, kw_ord, leader, text FROM hla",
     "stream_publish": _NB_PUBLISH,
     "stream_publish_knn": _KNN_PUBLISH,
 }

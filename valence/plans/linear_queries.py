@@ -10,7 +10,7 @@ from valence.functions.text import clean_text, join_tokens, regex_tokens, remove
 from valence.operators import feeds as FD
 from valence.operators import linear as L
 from valence.operators import vocab as V
-from valence.operators.metrics import best_so_far
+from valence.operators.metrics import auc_of_scores, best_so_far, epoch_means
 from valence.operators.split import validation_split
 from valence.plans import sql as S
 from valence.plans.feed_queries import _headline_docs, _kw
@@ -76,6 +76,39 @@ def q_linear_score_fixed(spark, sf):
     return s.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
 
 
+def q_linear_auc_scores(spark, sf):
+    """A17 on scores: how well the margin of the fixed model orders the rows."""
+    feats, _, test_f, _, _ = lin_inputs(spark, sf)
+    scored = feats(test_f).select("label", F.round(FIXED_MODEL.margin(), 5).alias("score"))
+    return auc_of_scores(scored).select("n_pos", "n_neg", F.round("auc", 4).alias("auc"))
+
+
+# Models of a fixed history: epoch -> what the margin of FIXED_MODEL is multiplied by.
+FIXED_EPOCHS = ((1, 1.0), (2, -0.5), (3, 0.25), (4, -1.0), (5, 0.0))
+
+
+def q_epoch_history(spark, sf):
+    """A18, A19, W4, U3 on a fixed history: loss and accuracy of each batch of
+    both parts at the models of FIXED_EPOCHS, their means for each epoch, and
+    the epochs that beat all before."""
+    feats, train_f, _, _, _ = lin_inputs(spark, sf)
+    batches = None
+    for split, part in zip(("train", "valid"), validation_split(train_f, "doc_id")):
+        rows = L.batch_ids(feats(part)).select("batch", "label", FIXED_MODEL.margin().alias("m"))
+        epochs = F.explode(F.array(*(F.struct(F.lit(e).alias("epoch"), F.lit(x).alias("by")) for e, x in FIXED_EPOCHS)))
+        margin = F.col("m") * F.col("e.by")
+        own = (rows.withColumn("e", epochs)
+               .groupBy("batch", F.col("e.epoch").alias("epoch"))
+               .agg(F.avg(L.cross_entropy(margin)).alias("loss"),
+                    F.avg(((margin > 0) == (F.col("label") > 0)).cast("double")).alias("accuracy"))
+               .select(F.lit("fixed").alias("run"), F.lit(split).alias("split"), "epoch", "batch", "loss", "accuracy"))
+        batches = own if batches is None else batches.unionByName(own)
+    history = freeze(epoch_means(batches))
+    flags = best_so_far(history).select("run", "epoch", "improved")
+    return history.join(flags, ["run", "epoch"]).select(
+        "split", "epoch", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"), "improved")
+
+
 def q_linear_epochs(spark, sf):
     model, hist, *_ = linear_model(spark, sf)
     flags = best_so_far(hist).select("run", "epoch", "improved")
@@ -120,6 +153,8 @@ QUERIES = {
     "pooled_vectors": q_pooled_vectors,
     "linear_predict": q_linear_predict,
     "linear_score_fixed": q_linear_score_fixed,
+    "linear_auc_scores": q_linear_auc_scores,
+    "epoch_history": q_epoch_history,
     "linear_epochs": q_linear_epochs,
     "batch_padding": q_batch_padding,
     "publish_linear": q_publish_linear,
@@ -150,7 +185,30 @@ sums AS (SELECT doc_id, dim, sum(tf * val) AS s FROM el GROUP BY ALL),
 pooled AS (SELECT t.doc_id, dims.dim, coalesce(sums.s, 0) / t.n AS value
            FROM tot t CROSS JOIN dims LEFT JOIN sums ON sums.doc_id = t.doc_id AND sums.dim = dims.dim)"""
 
+_MARGIN = """,
+mg AS (SELECT doc_id, sum(value * ((dim * 37 % 11 - 5) / 5.0)) + 0.01 AS m FROM pooled GROUP BY doc_id)"""
+
 ORACLE = {
+    "linear_auc_scores": _POOLED + _MARGIN + """,
+sc AS (SELECT fl.label, round(m, 5) AS score FROM mg JOIN fl ON fl.doc_id = mg.doc_id WHERE NOT fl.is_train),
+rk AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM sc),
+n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label <> 1) AS q,
+             sum(r) FILTER (label = 1) AS s FROM rk)
+SELECT p::BIGINT AS n_pos, q::BIGINT AS n_neg, round((s - p * (p + 1) / 2.0) / (p * q), 4)::DOUBLE AS auc FROM n""",
+    "epoch_history": _POOLED + _MARGIN + f""",
+pt AS (SELECT mg.doc_id, m, label, CASE WHEN {S.bucket('mg.doc_id', 'v100')} < 70 THEN 'train' ELSE 'valid' END AS split
+       FROM mg JOIN fl ON fl.doc_id = mg.doc_id WHERE is_train),
+bt AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY
+          {S.bucket('doc_id', 'order100').replace('% 100', '% 1073741824')}, doc_id) - 1) // 512 AS batch FROM pt),
+ep AS (SELECT * FROM (VALUES {', '.join(f'({e}, {x}::DOUBLE)' for e, x in FIXED_EPOCHS)}) v(epoch, mul)),
+lo AS (SELECT split, epoch, batch, avg(ln(1 + exp(CASE WHEN label = 1 THEN -m * mul ELSE m * mul END))) AS loss,
+              avg(CASE WHEN (m * mul > 0) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy
+       FROM bt CROSS JOIN ep GROUP BY ALL),
+hi AS (SELECT split, epoch, avg(loss) AS loss, avg(accuracy) AS accuracy FROM lo GROUP BY ALL),
+fg AS (SELECT a.epoch, NOT EXISTS (SELECT 1 FROM hi b WHERE b.split = 'valid' AND b.epoch < a.epoch AND b.loss <= a.loss) AS improved
+       FROM hi a WHERE a.split = 'valid')
+SELECT split, hi.epoch::INT AS epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, improved
+FROM hi JOIN fg ON fg.epoch = hi.epoch""",
     "pooled_vectors": _POOLED + """
 SELECT doc_id, dim::BIGINT AS dim, round(value, 6) AS value FROM pooled""",
     "linear_score_fixed": _POOLED + """,

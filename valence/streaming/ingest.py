@@ -7,6 +7,10 @@ each new headline as it arrives. Here:
   ``(feed, key)`` with streaming state (``dropDuplicates``; unbounded like
   the reference's sets) or, with an event-time column, with
   ``dropDuplicatesWithinWatermark`` (bounded state).
+* R1 + W2: articles stream in and the first headline of each key, by keyword
+  order and position, is kept as state whatever the order of arrival.
+* S12: articles stream in and each micro-batch becomes a segment of the
+  search index.
 * R2 + R3: headline files stream in and every micro-batch is scored against
   a static model inside ``foreachBatch`` (the model needs joins and
   aggregation, which a stream-static join alone cannot express), then written
@@ -25,6 +29,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valence.operators import feeds, search_index
 from valence.sources.feeds import parse_payloads
 
 PAYLOAD_SCHEMA = "feed STRING, page BIGINT, payload STRING"
@@ -34,6 +39,7 @@ _ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 # Input of one micro-batch: the number of batches follows the bytes that wait,
 # not the number of files.
 BATCH_BYTES = 256 << 20
+ARTICLE_SCHEMA = "feed STRING, key STRING, page BIGINT, item BIGINT, text STRING"
 HEADLINE_SCHEMA = "feed STRING, key STRING, kw_ord INT, leader STRING, page BIGINT, item BIGINT, text STRING"
 
 
@@ -86,6 +92,45 @@ def dedup_events(spark: SparkSession, source_df: DataFrame, sink: str, checkpoin
         _run(d.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
 
+def first_headlines(spark: SparkSession, source: str, sink: str, checkpoint: str, leaders,
+                    bytes_per_batch: int = BATCH_BYTES) -> None:
+    """R1 + W2: article files stream in; for each ``(feed, key)`` the state
+    holds the least ``(kw_ord, page, item, text)`` seen so far, so the headline
+    kept does not depend on the order of arrival. Each micro-batch writes the
+    headlines of the keys it touched to ``sink/batch=<id>`` (a retried batch
+    overwrites its own); :func:`read_headlines` gives the last state. Keys are
+    kept for ever, like the reference's sets: articles carry no event time
+    that could expire them. Of article rows with equal ids and other texts the
+    least text that holds the keyword is kept."""
+    s = (spark.readStream.schema(ARTICLE_SCHEMA)
+         .option("maxBytesPerTrigger", bytes_per_batch).json(source))
+    least = F.min(F.struct("kw_ord", "page", "item", "text", "leader")).alias("best")
+    best = feeds.match_rows(s, leaders).groupBy("feed", "key").agg(least).select("feed", "key", "best.*")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").json(os.path.join(sink, f"batch={batch_id}"))
+
+    with _disk_backed_state(spark):
+        _run(best.writeStream.outputMode("update").foreachBatch(each), checkpoint)
+
+
+def read_headlines(spark: SparkSession, sink: str) -> DataFrame:
+    """The last state of :func:`first_headlines`: updates of a key only ever
+    get smaller, so its least one is the last."""
+    rows = spark.read.schema(HEADLINE_SCHEMA).json(sink)
+    least = F.min(F.struct("kw_ord", "page", "item", "text", "leader")).alias("best")
+    return rows.groupBy("feed", "key").agg(least).select("feed", "key", "best.*")
+
+
+def index_stream(spark: SparkSession, source: str, index: str, checkpoint: str,
+                 bytes_per_batch: int = BATCH_BYTES) -> None:
+    """Article files stream in, each micro-batch is a segment of the
+    search index ``index``; a retried batch replaces its own segment."""
+    s = (spark.readStream.schema(ARTICLE_SCHEMA)
+         .option("maxBytesPerTrigger", bytes_per_batch).json(source))
+    _run(s.writeStream.foreachBatch(lambda batch, i: search_index.add_segment(batch, index, f"batch-{i}")), checkpoint)
+
+
 def score_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, score_batch,
                  bytes_per_batch: int = BATCH_BYTES) -> None:
     """R2 + R3: ``score_batch(df) -> records(feed, key, value)`` applied to
