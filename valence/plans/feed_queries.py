@@ -17,7 +17,7 @@ from valence.plans.knn_queries import knn_ctes
 from valence.plans.nb_queries import nb_model, nb_pred_ctes
 from valence.plans.prepare import train_test
 from valence.session import freeze, scratch_path
-from valence.sources import sinks
+from valence.sources import committed, sinks
 from valence.sources.feeds import articles, parse_payloads, payloads_from_tables
 from valence.sources.tables import table
 from valence.streaming import ingest
@@ -124,6 +124,13 @@ def q_publish_nb_files(spark, sf):
     return ingest.read_records(spark, path)
 
 
+def q_publish_nb_committed(spark, sf):
+    """The records through the exactly-once sink, read back."""
+    path = scratch_path(spark, "committed")
+    committed.publish(q_publish_nb(spark, sf), path, "headlines")
+    return committed.read(spark, path)
+
+
 def q_stream_dedup(spark, sf):
     root = scratch_path(spark, "stream-dedup")
     src = os.path.join(root, "payloads")
@@ -208,6 +215,7 @@ QUERIES = {
     "publish_nb": q_publish_nb,
     "publish_knn": q_publish_knn,
     "publish_nb_files": q_publish_nb_files,
+    "publish_nb_committed": q_publish_nb_committed,
     "stream_dedup": q_stream_dedup,
     "stream_dedup_events": q_stream_dedup_events,
     "index_matches": q_index_matches,
@@ -281,6 +289,7 @@ FROM (SELECT event_type, event_id,
     "publish_nb": _NB_PUBLISH,
     "publish_knn": _KNN_PUBLISH,
     "publish_nb_files": _NB_PUBLISH,
+    "publish_nb_committed": _NB_PUBLISH,
     "stream_dedup": _W + FEED_CTES + " SELECT DISTINCT feed, key FROM arts",
     "stream_dedup_events": "SELECT DISTINCT user_id, event_type FROM events",
     "index_matches": _W + FEED_CTES + " SELECT feed, key, kw_ord, leader FROM mt",

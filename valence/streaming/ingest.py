@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valence.operators import feeds, search_index
+from valence.sources import committed
 from valence.sources.feeds import parse_payloads
 
 PAYLOAD_SCHEMA = "feed STRING, page BIGINT, payload STRING"
@@ -144,5 +145,14 @@ def score_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, s
     _run(s.writeStream.foreachBatch(each), checkpoint)
 
 
+def score_stream_once(spark: SparkSession, source: str, sink: str, checkpoint: str, score_batch,
+                      bytes_per_batch: int = BATCH_BYTES) -> None:
+    """:func:`score_stream` into the exactly-once sink: a batch is one commit
+    named by its id, and a batch that was committed is not published again."""
+    s = (spark.readStream.schema(HEADLINE_SCHEMA)
+         .option("maxBytesPerTrigger", bytes_per_batch).json(source))
+    _run(s.writeStream.foreachBatch(lambda batch, i: committed.publish(score_batch(batch), sink, f"batch-{i}")), checkpoint)
+
+
 def read_records(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.schema("feed STRING, key STRING, value STRING").json(sink).select("feed", "key", "value")
