@@ -64,7 +64,7 @@ def lexicon(train: DataFrame) -> dict[bytes, float]:
     counted = (train.select("text", "label").mapInArrow(count, "token binary, label int, n long")
                .groupBy("token").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1"),
                                      F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0")))
-    counted = materialise(counted.where("n1 + n0 > 1"), "toxicity")
+    counted = materialise(counted, "toxicity")
     t1, t0, types = counted.agg(F.sum("n1"), F.sum("n0"), F.count("*")).first()
     if not t1 or not t0:
         return {}
@@ -106,7 +106,10 @@ def segments(text: bytes, weights: dict[bytes, float]) -> tuple[int, list[tuple[
     """Number of tokens, and the maximal segments in token positions; runs of
     tokens outside the lexicon enter the scan as one step."""
     words = tokens(text)
-    hits = [(i, weights[w]) for i, w in enumerate(words) if w in weights]
+    return len(words), _segments([(i, weights[w]) for i, w in enumerate(words) if w in weights])
+
+
+def _segments(hits: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
     scores, at, last = [], [], -1
     for i, w in hits:
         if i > last + 1:
@@ -115,7 +118,7 @@ def segments(text: bytes, weights: dict[bytes, float]) -> tuple[int, list[tuple[
         scores.append(w)
         at.append(i)
         last = i
-    return len(words), [(at[a], at[b - 1] + 1, s) for a, b, s in maximal_segments(scores)]
+    return [(at[a], at[b - 1] + 1, s) for a, b, s in maximal_segments(scores)]
 
 
 @dataclass(frozen=True)
@@ -136,7 +139,8 @@ class Model:
 
 
 def _rate(scores: np.ndarray, freq: np.ndarray) -> float:
-    """The positive root of sum(freq * exp(rate * score)) = 1."""
+    """The positive root of sum(freq * exp(rate * score)) = 1, 0.05 at least and
+    8 at most (also where no token has a positive score)."""
     low, high = 0.0, 1.0
     while (freq * np.exp(high * scores)).sum() < 1 and high < 8:
         high *= 2
@@ -162,23 +166,26 @@ def fit(train: DataFrame) -> Model:
     """Fit on rows ``(text, label)``."""
     weights = lexicon(train)
     shared = train.sparkSession.sparkContext.broadcast(weights)  # at most LEXICON tokens
-    schema = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("scores", pa.list_(pa.float64()))])
+    schema = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("scores", pa.list_(pa.float64())),
+                        ("hits", pa.list_(pa.float64()))])
 
     def scan(batches):
         for b in batches:
-            got = [segments(t, shared.value) for t in utf8(b, "text")]
-            yield record(schema, [column(b, "label"), [n for n, _ in got], [[s for *_, s in x] for _, x in got]])
+            words = [tokens(t) for t in utf8(b, "text")]
+            hits = [[(i, shared.value[w]) for i, w in enumerate(ws) if w in shared.value] for ws in words]
+            yield record(schema, [column(b, "label"), list(map(len, words)),
+                                  [[s for *_, s in _segments(x)] for x in hits], [[w for _, w in x] for x in hits]])
 
-    seen = materialise(train.select("text", "label").mapInArrow(scan, "label int, n long, scores array<double>"),
-                       "toxicity")
+    seen = materialise(train.select("text", "label").mapInArrow(
+        scan, "label int, n long, scores array<double>, hits array<double>"), "toxicity")
     # chance law from the documents that are not toxic: the share of each weight among their tokens
     clean = seen.where("label = 0")
     n_tokens, n_docs = clean.agg(F.sum("n"), F.count("*")).first()
     n_tokens, n_docs = n_tokens or 0, n_docs or 0
-    w = np.array(list(weights.values()) or [0.0])
-    positive = (clean.select(F.explode("scores").alias("s")).agg(F.count("*")).first()[0] + 1) / (n_tokens + 1)
-    freq = np.where(w > 0, positive / max(1, (w > 0).sum()), 0)
-    rate = _rate(np.append(w, DRIFT), np.append(freq, max(0.0, 1 - positive))) if weights else 1.0
+    held = (clean.select(F.explode("hits").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+            .orderBy("w").collect())  # a row for each lexicon weight at most
+    w, n = np.array([r.w for r in held]), np.array([float(r.n) for r in held])
+    rate = _rate(np.append(w, DRIFT), np.append(n, n_tokens - n.sum()) / n_tokens) if weights and n_tokens else 1.0
     best = F.coalesce(F.array_max("scores"), F.lit(0.0))
     mass = clean.agg(F.sum(F.col("n") * F.exp(-F.lit(rate) * best))).first()[0] or 0
     model = Model(weights, rate, n_docs / mass if mass else 1.0, 0.0, 0.0)
