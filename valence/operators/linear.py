@@ -33,6 +33,7 @@ from valence.session import freeze
 BATCH_SIZE = 512
 EPOCHS = 10
 N_SPECIALS = 2
+DECAY = 0.9  # of a token's weight with each position from the end of the text
 RIDGE = 1e-3  # per training row; keeps the steps finite on separable data
 
 
@@ -64,6 +65,36 @@ def pooled_vectors(docs: DataFrame, vocab: DataFrame, vectors: DataFrame,
         "doc_id", F.coalesce("features", nothing).alias("features"))
 
 
+def ordered_vectors(docs: DataFrame, vocab: DataFrame, vectors: DataFrame,
+                    tokens_col: str = "tokens", dim: int | None = None, decay: float = DECAY) -> DataFrame:
+    """M9: ``(doc_id, features)`` that depend on the order of the tokens: the
+    mean token vector, then the last states of two linear recurrences, one
+    forwards (``s = decay * s + v`` from the first token to the last) and one
+    backwards, each over the sum of its weights. ``3 * dim`` numbers, zeros for
+    a document without tokens.
+
+    A linear state is a sum weighted by position, so no task walks through a
+    text: a word's weights in a document are added before its vector is met,
+    and the sums are combined as in :func:`pooled_vectors`."""
+    if dim is None:
+        first = vectors.select(F.size("vec")).first()
+        dim = first[0] if first else 0
+    at = docs.repartition("doc_id").select("doc_id", F.size(tokens_col).alias("n"),
+                                           F.posexplode(tokens_col).alias("pos", "term"))
+    base = F.lit(float(decay))
+    words = at.groupBy("doc_id", "term").agg(
+        F.count("*").cast("double").alias("w0"), F.sum(F.pow(base, F.col("n") - 1 - F.col("pos"))).alias("w1"),
+        F.sum(F.pow(base, "pos")).alias("w2"))
+    zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
+    rows = (words.join(vocab.select("term", "term_id"), "term", "left").join(vectors, "term_id", "left")
+            .select("doc_id", "w0", "w1", "w2", array_to_vector(F.coalesce("vec", zero)).alias("v")))
+    states = rows.groupBy("doc_id").agg(*(Summarizer.mean(F.col("v"), F.col(f"w{i}")).alias(f"s{i}") for i in range(3)))
+    features = array_to_vector(F.concat(*(vector_to_array(f"s{i}") for i in range(3))))
+    nothing = array_to_vector(F.array_repeat(F.lit(0.0), 3 * dim))
+    return docs.select("doc_id").join(states.select("doc_id", features.alias("features")), "doc_id", "left").select(
+        "doc_id", F.coalesce("features", nothing).alias("features"))
+
+
 @dataclass(frozen=True)
 class LinearModel:
     """A two-class softmax model: coefficients, then the intercept."""

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from valence.functions.text import clean_text, join_tokens, regex_tokens, remove_stop_words
 from valence.operators import feeds as FD
+from valence.operators import descent as D
 from valence.operators import linear as L
 from valence.operators import vocab as V
 from valence.operators.metrics import auc_of_scores, best_so_far, epoch_means
 from valence.operators.split import validation_split
 from valence.plans import sql as S
-from valence.plans.feed_queries import _headline_docs, _kw
+from valence.plans.feed_queries import FEED_CTES, _headline_docs, _kw
 from valence.plans.prepare import filtered_tokens, prepared, without_stop_words, tokenised
 from valence.sources import sinks
 from valence.sources.feeds import articles
@@ -21,7 +22,7 @@ from valence.sources.tables import table
 from valence.session import freeze, scratch_path
 
 
-def lin_inputs(spark, sf, label="en"):
+def lin_inputs(spark, sf, label="en", vectors=L.pooled_vectors):
     # the vocabulary and both feature sets read the tokens: run the text
     # pipeline over the documents once and freeze its output. The
     # empty-document filter (P6) goes after the freeze: placed before it,
@@ -35,7 +36,7 @@ def lin_inputs(spark, sf, label="en"):
     vecs = freeze(L.word_vectors(vocab, table(spark, sf, "embeddings")))
 
     def feats(df):
-        pooled = L.pooled_vectors(df.select("doc_id", "tokens"), vocab, vecs)
+        pooled = vectors(df.select("doc_id", "tokens"), vocab, vecs)
         # read by several optimiser passes: freeze once
         return freeze(pooled.join(df.select("doc_id", "label"), "doc_id"))
 
@@ -76,6 +77,26 @@ def q_linear_score_fixed(spark, sf):
     return s.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
 
 
+# The same for features that know the order of the tokens.
+FIXED_ORDER_MODEL = L.LinearModel((*((j * 37 % 11 - 5) / 5 for j in range(192)), 0.01))
+
+
+def q_linear_score_order(spark, sf):
+    """M9 with token order: the fixed model on mean, forward and backward states."""
+    feats, _, test_f, _, _ = lin_inputs(spark, sf, vectors=L.ordered_vectors)
+    s = L.score(FIXED_ORDER_MODEL, feats(test_f))
+    return s.select("doc_id", "label", "prediction", F.round("probability", 6).alias("probability"))
+
+
+def q_linear_batches(spark, sf):
+    """M10 + M11: a grid of settings trained by batches on ordered features;
+    the history, and which setting and epoch are kept."""
+    feats, train_f, _, _, _ = lin_inputs(spark, sf, vectors=L.ordered_vectors)
+    tr, va = validation_split(train_f, "doc_id")
+    model, setting, history = D.train_batches(feats(tr), feats(va))
+    return history.withColumn("kept", (F.col("epoch") == model.epoch) & (F.col("setting") == setting))
+
+
 def q_linear_auc_scores(spark, sf):
     """A17 on scores: how well the margin of the fixed model orders the rows."""
     feats, _, test_f, _, _ = lin_inputs(spark, sf)
@@ -129,6 +150,16 @@ def q_batch_padding(spark, sf):
 
 def q_publish_linear(spark, sf):
     model, _, _, _, vocab, vecs = linear_model(spark, sf)
+    return linear_records(spark, sf, model, vocab, vecs)
+
+
+def q_publish_linear_fixed(spark, sf):
+    """M13 + F19: the records of a model that SQL can restate."""
+    _, _, _, vocab, vecs = lin_inputs(spark, sf)
+    return linear_records(spark, sf, FIXED_MODEL, vocab, vecs)
+
+
+def linear_records(spark, sf, model, vocab, vecs):
     docs = _headline_docs(FD.headlines(articles(spark, sf), _kw(spark)))
     toks = docs.select("doc_id", remove_stop_words(regex_tokens(clean_text("text"))).alias("tokens"))
     scored = L.score(model, L.pooled_vectors(toks, vocab, vecs))
@@ -153,11 +184,14 @@ QUERIES = {
     "pooled_vectors": q_pooled_vectors,
     "linear_predict": q_linear_predict,
     "linear_score_fixed": q_linear_score_fixed,
+    "linear_score_order": q_linear_score_order,
+    "linear_batches": q_linear_batches,
     "linear_auc_scores": q_linear_auc_scores,
     "epoch_history": q_epoch_history,
     "linear_epochs": q_linear_epochs,
     "batch_padding": q_batch_padding,
     "publish_linear": q_publish_linear,
+    "publish_linear_fixed": q_publish_linear_fixed,
     "preview_tokens": q_preview_tokens,
     "labelled_kv": q_labelled_kv,
 }
@@ -185,10 +219,29 @@ sums AS (SELECT doc_id, dim, sum(tf * val) AS s FROM el GROUP BY ALL),
 pooled AS (SELECT t.doc_id, dims.dim, coalesce(sums.s, 0) / t.n AS value
            FROM tot t CROSS JOIN dims LEFT JOIN sums ON sums.doc_id = t.doc_id AND sums.dim = dims.dim)"""
 
+_COEF = "((dim * 37 % 11 - 5) / 5.0)"
+
 _MARGIN = """,
 mg AS (SELECT doc_id, sum(value * ((dim * 37 % 11 - 5) / 5.0)) + 0.01 AS m FROM pooled GROUP BY doc_id)"""
 
 ORACLE = {
+    "linear_score_order": _SEQ + """,
+wv AS (SELECT sv.term, e.embedding FROM sv JOIN embeddings e
+       ON e.vec_id = sv.term_id % (SELECT count(*) FROM embeddings) WHERE sv.term_id >= 2),
+tk AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) - 1 AS pos, len(tokens) AS n
+       FROM fl WHERE NOT is_train),
+wt AS (SELECT doc_id, term, s, sum(CASE s WHEN 0 THEN 1.0 WHEN 1 THEN power(0.9::DOUBLE, n - 1 - pos) ELSE power(0.9::DOUBLE, pos) END) AS w
+       FROM tk CROSS JOIN (VALUES (0), (1), (2)) v(s) GROUP BY ALL),
+tot AS (SELECT doc_id, s, sum(w) AS w FROM wt GROUP BY ALL),
+el AS (SELECT d.doc_id, d.s, d.w, unnest(w.embedding)::DOUBLE AS val,
+              generate_subscripts(w.embedding, 1) - 1 AS dim
+       FROM wt d JOIN wv w ON w.term = d.term),
+mg AS (SELECT tot.doc_id, sum(coalesce(x.v, 0) / tot.w) + 0.01 AS m
+       FROM tot LEFT JOIN (SELECT doc_id, s, sum(w * val * (((s * 64 + dim) * 37 % 11 - 5) / 5.0)) AS v FROM el GROUP BY ALL) x
+       ON x.doc_id = tot.doc_id AND x.s = tot.s GROUP BY tot.doc_id)
+SELECT fl.doc_id, fl.label, CASE WHEN m > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+       round(1 / (1 + exp(-abs(m))), 6) AS probability
+FROM mg JOIN fl ON fl.doc_id = mg.doc_id""",
     "linear_auc_scores": _POOLED + _MARGIN + """,
 sc AS (SELECT fl.label, round(m, 5) AS score FROM mg JOIN fl ON fl.doc_id = mg.doc_id WHERE NOT fl.is_train),
 rk AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM sc),
@@ -209,6 +262,18 @@ fg AS (SELECT a.epoch, NOT EXISTS (SELECT 1 FROM hi b WHERE b.split = 'valid' AN
        FROM hi a WHERE a.split = 'valid')
 SELECT split, hi.epoch::INT AS epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, improved
 FROM hi JOIN fg ON fg.epoch = hi.epoch""",
+    "publish_linear_fixed": _SEQ + FEED_CTES + f""",
+wp AS (SELECT term, sum(val * {_COEF}) AS p FROM (
+         SELECT sv.term, unnest(e.embedding)::DOUBLE AS val, generate_subscripts(e.embedding, 1) - 1 AS dim
+         FROM sv JOIN embeddings e ON e.vec_id = sv.term_id % (SELECT count(*) FROM embeddings)
+         WHERE sv.term_id >= 2) x GROUP BY term),
+hd AS (SELECT feed, key, leader, text, {S.no_stop(S.tokens(S.clean('text')))} AS tokens FROM hla),
+hm AS (SELECT t.feed, t.key, sum(coalesce(wp.p, 0)) / count(*) AS m
+       FROM (SELECT feed, key, unnest(tokens) AS term FROM hd) t LEFT JOIN wp ON wp.term = t.term GROUP BY ALL),
+hs AS (SELECT hd.feed, hd.key, hd.text, hd.leader, coalesce(m, 0) + 0.01 AS m
+       FROM hd LEFT JOIN hm ON hm.feed = hd.feed AND hm.key = hd.key)
+SELECT feed, key, json_object('news', text, 'leader', leader, 'lstmpolarity', round(1 / (1 + exp(-abs(m))), 6),
+                              'lstmclass', CASE WHEN m > 0 THEN 1.0 ELSE 0.0 END::DOUBLE) AS value FROM hs""",
     "pooled_vectors": _POOLED + """
 SELECT doc_id, dim::BIGINT AS dim, round(value, 6) AS value FROM pooled""",
     "linear_score_fixed": _POOLED + """,
