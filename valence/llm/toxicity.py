@@ -167,23 +167,33 @@ def fit(train: DataFrame) -> Model:
     weights = lexicon(train)
     shared = train.sparkSession.sparkContext.broadcast(weights)  # at most LEXICON tokens
     schema = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("scores", pa.list_(pa.float64())),
-                        ("hits", pa.list_(pa.float64()))])
+                        ("weights", pa.list_(pa.float64())), ("counts", pa.list_(pa.int64()))])
 
     def scan(batches):
+        """A row for each document, and one for each task: how often documents
+        that are not toxic hold each weight."""
+        held: Counter = Counter()
         for b in batches:
-            words = [tokens(t) for t in utf8(b, "text")]
-            hits = [[(i, shared.value[w]) for i, w in enumerate(ws) if w in shared.value] for ws in words]
-            yield record(schema, [column(b, "label"), list(map(len, words)),
-                                  [[s for *_, s in _segments(x)] for x in hits], [[w for _, w in x] for x in hits]])
-
-    seen = materialise(train.select("text", "label").mapInArrow(
-        scan, "label int, n long, scores array<double>, hits array<double>"), "toxicity")
+            found = []
+            labels = column(b, "label")
+            for ws, label in zip(map(tokens, utf8(b, "text")), labels.to_pylist()):
+                hits = [(i, shared.value[w]) for i, w in enumerate(ws) if w in shared.value]
+                found.append((len(ws), [s for *_, s in _segments(hits)]))
+                if label == 0:
+                    held.update(w for _, w in hits)
+            none = [None] * len(found)
+            yield record(schema, [labels, [n for n, _ in found], [x for _, x in found], none, none])
+        yield record(schema, [[None], [None], [None], [list(held)], [list(held.values())]])
+
+    rows = materialise(train.select("text", "label").mapInArrow(
+        scan, "label int, n long, scores array<double>, weights array<double>, counts array<long>"), "toxicity")
+    seen = rows.where("scores is not null").select("label", "n", "scores")
     # chance law from the documents that are not toxic: the share of each weight among their tokens
     clean = seen.where("label = 0")
     n_tokens, n_docs = clean.agg(F.sum("n"), F.count("*")).first()
     n_tokens, n_docs = n_tokens or 0, n_docs or 0
-    held = (clean.select(F.explode("hits").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-            .orderBy("w").collect())  # a row for each lexicon weight at most
+    held = (rows.where("scores is null").select(F.explode(F.arrays_zip("weights", "counts")).alias("x"))
+            .groupBy(F.col("x.weights").alias("w")).agg(F.sum("x.counts").alias("n")).orderBy("w").collect())  # a row for each lexicon weight at most
     w, n = np.array([r.w for r in held]), np.array([float(r.n) for r in held])
     rate = _rate(np.append(w, DRIFT), np.append(n, n_tokens - n.sum()) / n_tokens) if weights and n_tokens else 1.0
     best = F.coalesce(F.array_max("scores"), F.lit(0.0))
