@@ -30,6 +30,32 @@ def test_match_plan_has_no_nested_loop_and_carries_no_text(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_matching_shuffles_nothing(spark):
+    """Before, every distinct word of every article was shuffled with the article's key."""
+    arts = articles(spark, SF_SMALL)
+    m = FD.match_keywords(arts, FD.keyword_table(spark, ("that", "of the")))
+    plan = spark._jvm.PythonSQLUtils.explainString(m._jdf.queryExecution(), "simple")
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_headlines_of_long_keys_are_numbered_for_the_models(spark):
+    from valence.plans.feed_queries import _headline_docs
+    h = spark.createDataFrame([("A", "k" * 5000, "w", "t1"), ("A", None, "w", "t2"), ("A", "", "w", "t3")],
+                              "feed string, key string, leader string, text string")
+    rows = _headline_docs(h).collect()
+    assert len({r.doc_id for r in rows}) == 3 and all(isinstance(r.doc_id, int) for r in rows)
+    assert {(r.key, r.text) for r in rows} == {("k" * 5000, "t1"), (None, "t2"), ("", "t3")}
+
+
+def test_headline_takes_the_least_text_of_its_place_even_without_the_keyword(spark):
+    arts = spark.createDataFrame([("A", "k", 0, 1, "z rain"), ("A", "k", 0, 1, "a sun"), ("A", "k", 0, 0, "snow rain"),
+                                  ("A", None, None, 2, "rain"), ("A", "n", 0, 3, "sun")],
+                                 "feed string, key string, page long, item long, text string")
+    got = {(r.key, r.leader, r.page, r.item, r.text)
+           for r in FD.headlines(arts, FD.keyword_table(spark, ["rain", "snow"])).collect()}
+    assert got == {("k", "rain", 0, 0, "snow rain"), (None, "rain", None, 2, "rain")}
+
+
 def test_key_under_two_keywords_keeps_first_keyword(spark):
     arts = spark.createDataFrame([("A", "k", 0, 0, "t", "alpha beta")], ART_SCHEMA)
     kw = FD.keyword_table(spark, ("beta", "alpha"))
