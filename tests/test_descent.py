@@ -123,3 +123,22 @@ def test_ordered_vectors_follow_the_recurrences(spark):
     assert np.allclose(got[30][3:6], got[31][6:])
     none = L.ordered_vectors(docs.filter(F.col("doc_id") < 0), vocab, vectors)
     assert none.count() == 0
+
+
+def test_vectors_in_several_blocks_give_the_same_means(spark, monkeypatch):
+    """The words' vectors go to the tasks in blocks; words with two vectors
+    count twice, ids may repeat, unknown words weigh."""
+    from valence.operators import linear as L
+    docs = spark.createDataFrame([(1, ["a", "b", "x", "a"]), (2, []), (3, ["c"]), (3, ["b"]), (None, ["a"])],
+                                 "doc_id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 2), ("b", 3), ("c", 4), ("d", 5)], "term string, term_id int")
+    vectors = spark.createDataFrame([(2, [1.0, 0.0]), (3, [0.0, 2.0]), (3, [0.0, 4.0]), (4, None)],
+                                    "term_id int, vec array<float>")
+    want = {1: (2 / 5, 6 / 5), 2: (0.0, 0.0), 3: (0.0, 2.0), None: (0.0, 0.0)}
+    for limit in (L.BROADCAST_BYTES, 50):
+        monkeypatch.setattr(L, "BROADCAST_BYTES", limit)
+        got = L.pooled_vectors(docs, vocab, vectors)
+        assert sorted((r.doc_id or 0, *(round(x, 9) for x in r.features.toArray().tolist())) for r in got.collect()) == sorted(
+            (k or 0, *(round(x, 9) for x in want[k])) for k in (1, 2, 3, 3, None))
+        plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+        assert "term#" not in plan  # no word is exploded or shuffled
