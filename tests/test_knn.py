@@ -158,3 +158,34 @@ def test_fewer_training_rows_than_neighbours_and_none(spark):
     assert {(r.q_id, r.t_id) for r in K.neighbours(q, train, 5, "dense").collect()} == {(1, 1), (1, 2), (2, 1), (2, 2)}
     assert K.neighbours(q, train.limit(0), 5, "dense").count() == 0
     assert K.neighbours(q.limit(0), train, 5, "dense").count() == 0
+
+
+def test_kernel_agrees_with_brute_force_for_common_and_rare_words(monkeypatch):
+    """Common words go through a matrix product, the others row by row, a few
+    places at a time; before, all words of two blocks met in dense matrices."""
+    import numpy as np
+    import pandas as pd
+    from valence.operators import knn as K
+    rng = np.random.default_rng(3)
+    x = (rng.random((230, 90)) < np.linspace(0.9, 0.002, 90)) * rng.integers(1, 5, (230, 90))
+    def rows(a, name):
+        return pd.DataFrame({name: np.arange(len(a)), "label": 0, "terms": [np.flatnonzero(r) for r in a],
+                             "counts": [r[r > 0] for r in a], "norm2": (a * a).sum(1)})
+    q, t = rows(x[:80], "q_id"), rows(x[80:], "t_id")
+    want = ((x[:80, None] - x[None, 80:]) ** 2).sum(2)
+    for tile, dense in ((K.TILE, K.DENSE), (700, 150 * 7), (1, 0)):
+        monkeypatch.setattr(K, "TILE", tile)
+        monkeypatch.setattr(K, "DENSE", dense)
+        got = K._block_topk(q, t, 6, "sparse")
+        order = np.argsort(want, axis=1, kind="stable")[:, :6]
+        assert got.t_id.tolist() == order.ravel().tolist()
+        assert got.d2.tolist() == np.take_along_axis(want, order, 1).ravel().tolist()
+
+
+def test_blocks_grow_with_the_table():
+    """Copies of rows follow the number of blocks; before, a block had 256 or
+    1,024 rows whatever the table."""
+    from valence.operators import knn as K
+    assert K._block_rows(2800, K.T_BLOCK_ROWS) == K.T_BLOCK_ROWS
+    assert all(n / K._block_rows(n, K.Q_BLOCK_ROWS) <= 12 for n in (1000, 20_000, 180_000))
+    assert K._block_rows(10**7, K.Q_BLOCK_ROWS) == K.MOST_ROWS
