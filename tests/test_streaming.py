@@ -33,3 +33,16 @@ def test_bounded_dedup_drops_late_rows_only(spark):
         ingest.dedup_events(spark, stream, f"{root}/out", f"{root}/check", delay=delay)
         assert {r.user_id for r in spark.read.parquet(f"{root}/out").collect()} == want
         assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_the_number_of_batches_does_not_grow_with_what_waits(spark, tmp_path, monkeypatch):
+    """Before, every batch took 8 MB however much waited."""
+    from valence.plans import feed_queries as Q
+    src = str(tmp_path / "src")
+    spark.range(4000).selectExpr("repeat('x', 100) as text").repartition(4).write.json(src)
+    assert Q._batch_bytes(spark, src) == Q.STREAM_BYTES
+    monkeypatch.setattr(Q, "STREAM_BYTES", 1000)
+    few = Q._batch_bytes(spark, src)
+    assert few > 4000 * 100 // Q.STREAM_BATCHES
+    monkeypatch.setattr(Q.ingest, "BATCH_BYTES", few - 1)
+    assert Q._batch_bytes(spark, src) == few - 1
