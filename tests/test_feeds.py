@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from valence.operators import feeds as FD
@@ -84,6 +86,39 @@ def test_repeated_articles_give_one_headline(spark):
     assert got == [("A", "k1", "rain", "a rain"), ("A", "k2", "snow", "snow"), ("B", "", "rain", "rain snow")]
 
 
+def _nodes(df, kind):
+    """The formatted plan's entries of one kind of operator."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [e for e in text.split("\n\n") if re.match(rf"\s*\(\d+\) {kind}\b", e)]
+
+
+def test_headlines_shuffle_each_text_and_key_once(spark):
+    """Before, keys went through an exchange with each keyword, and texts through two."""
+    h = FD.headlines(articles(spark, SF_SMALL), FD.keyword_table(spark, ("that", "of the")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        carried = [e for e in _nodes(h, "Exchange") if re.search(r"\b(text|key)#", e)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(carried) == 1
+
+
+def test_first_places_are_sorted_without_keys(spark):
+    """Before, the matches of a whole task were sorted with their keys."""
+    near = FD.at_first_places(articles(spark, SF_SMALL), FD.keyword_table(spark, ("that", "of the")))
+    cuts = _nodes(near, "WindowGroupLimit")
+    assert cuts and not any("key#" in e for e in cuts)
+
+
+def test_articles_that_share_a_place_are_cut_by_key(spark):
+    arts = spark.createDataFrame([("A", f"k{9 - i}", 0, i // 4, "w x") for i in range(8)] + [("A", None, None, 5, "w")],
+                                 "feed string, key string, page long, item long, text string")
+    kw = FD.keyword_table(spark, ("w", "x"))
+    got = {(r.key, r.kw_ord) for r in FD.headlines(arts, kw, n=3).collect()}
+    assert got == {(None, 0), ("k6", 0), ("k7", 0), ("k8", 1)}
+    assert FD.headlines(arts, kw.where("kw_ord > 5")).count() == 0
+
+
 def test_unseen_drops_published_keys(spark):
     rows = spark.createDataFrame([("A", "a"), ("B", "a"), ("A", "b")], "feed string, key string")
     seen = spark.createDataFrame([("A", "a")], "feed string, key string")

@@ -33,22 +33,39 @@ def _phrase_in(text: Column, phrase: Column) -> Column:
     return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), phrase, F.lit(" ")))
 
 
+def _matched(clean: Column, keywords: DataFrame) -> Column:
+    """``(kw_ord, leader)`` of each keyword in a cleaned text, as an array. The
+    keywords are a list in the caller's memory and become a literal: the words
+    of the text meet their first words, then the phrases are tested."""
+    begin: dict[str, list[Column]] = {}
+    for r in keywords.select("kw_ord", "leader").collect():
+        entry = F.struct(F.lit(r.kw_ord).cast("int").alias("kw_ord"), F.lit(r.leader).alias("leader"))
+        begin.setdefault(r.leader.split(" ")[0], []).append(entry)
+    if not begin:
+        return F.array().cast("array<struct<kw_ord: int, leader: string>>")
+    first = F.array(*map(F.lit, begin))
+    entries = F.map_from_arrays(first, F.array(*(F.array(*e) for e in begin.values())))
+
+    def found(text: Column) -> Column:
+        begun = F.array_intersect(F.split(text, " "), first)
+        return F.filter(F.flatten(F.transform(begun, lambda w: F.element_at(entries, w))),
+                        lambda k: _phrase_in(text, k["leader"]))
+
+    # bound as a variable, the text is cleaned once and not for each keyword
+    return F.get(F.transform(F.array(clean), found), 0)
+
+
 def match_keywords(arts: DataFrame, keywords: DataFrame) -> DataFrame:
     """P10 + J8: ``(feed, key, page, item, kw_ord, leader)`` for every article
     whose cleaned text contains the keyword as whole words.
 
-    The distinct words of each article meet the first words of the keywords,
-    which come from a list in the caller's memory and go to every task; a
-    phrase is tested on the spot. No word and no text is shuffled, and any
-    number of keywords has the same plan.
+    An article meets the keywords where it is read. No word and no text is
+    shuffled, and any number of keywords has the same plan.
     """
     ids = ["feed", "key", "page", "item"]
-    first = keywords.withColumn("_w", F.get(F.split("leader", " "), 0))
-    words = (arts.select(*ids, clean_text("text").alias("_clean"))
-             .withColumn("_w", F.explode(F.array_distinct(F.split("_clean", " ")))))
-    return (words.join(F.broadcast(first), "_w")
-            .where((F.col("_w") == F.col("leader")) | _phrase_in(F.col("_clean"), F.col("leader")))
-            .select(*ids, "kw_ord", "leader"))
+    return (arts.select(*ids, clean_text("text").alias("_clean"))
+            .select(*ids, F.explode(_matched(F.col("_clean"), keywords)).alias("_kw"))
+            .select(*ids, "_kw.*"))
 
 
 def match_rows(arts: DataFrame, leaders) -> DataFrame:
@@ -71,6 +88,20 @@ def first_n_per_keyword(matches: DataFrame, n: int = FIRST_N) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def at_first_places(arts: DataFrame, keywords: DataFrame, n: int = FIRST_N) -> DataFrame:
+    """The articles that stand at one of the first ``n`` places of a feed for
+    some keyword. A key may be as long as a text, so the places are found
+    without it: what is sorted has a few numbers in a row. Articles that share a
+    place stay together, for :func:`first_n_per_keyword` to tell them apart."""
+    w = Window.partitionBy("feed", "kw_ord").orderBy("page", "item")
+    places = (match_keywords(arts, keywords).select("feed", "kw_ord", "page", "item")
+              .withColumn("rank", F.rank().over(w)).where(F.col("rank") <= n)
+              .select("feed", "page", "item").distinct())
+    # n places at most for each feed and keyword of the caller's list
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("feed", "page", "item")]
+    return arts.alias("a").join(F.broadcast(places.alias("p")), same, "left_semi")
+
+
 def first_per_key(rows: DataFrame) -> DataFrame:
     """One row per (feed, key), the earliest keyword winning, then
     the earliest position. A min_by aggregate combines map-side, so a key
@@ -92,22 +123,37 @@ def headlines(arts: DataFrame, keywords: DataFrame, n: int | None = None) -> Dat
     articles of each feed and keyword count.
     ``(feed, key, kw_ord, leader, page, item, text)``. Articles that repeat
     their feed, key and position give one headline, with the least text."""
-    m = match_keywords(arts, keywords)
     ids = ["feed", "key", "page", "item"]
     if n is None:
-        # the keywords of an article and its texts meet in one exchange
-        least = (m.select(*ids, F.struct("kw_ord", "leader").alias("_kw"))
-                 .unionByName(arts.select(*ids, "text"), allowMissingColumns=True)
-                 .groupBy(*ids).agg(F.min("_kw").alias("_kw"), F.min("text").alias("text"))
-                 .where("_kw is not null").select(*ids, "_kw.*", "text"))
-        return first_per_key(least).select("feed", "key", "kw_ord", "leader", "page", "item", "text")
+        return _all_headlines(arts.select(*ids, "text"), keywords)
+    near = at_first_places(arts.select(*ids, "text"), keywords, n)
     # n rows at most for each feed and keyword of the caller's list
-    kept = F.broadcast(first_per_key(first_n_per_keyword(m, n).drop("rank")))
+    kept = F.broadcast(first_per_key(first_n_per_keyword(match_keywords(near, keywords), n).drop("rank")))
     same = [F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ids]
-    return (kept.alias("h").join(arts.select(*ids, "text").alias("t"), same)
+    return (kept.alias("h").join(near.alias("t"), same)
             .groupBy("h.feed", "h.key", "h.kw_ord", "h.leader", "h.page", "h.item").agg(F.min("t.text").alias("text")))
 
 
+def _all_headlines(arts: DataFrame, keywords: DataFrame) -> DataFrame:
+    """The first place of each key is found from digests of the keys; then each
+    text goes through one exchange, to meet the place where it stands."""
+    def or_dash(c: Column) -> Column:
+        return F.coalesce(c.cast("string"), F.lit("-"))
+
+    name = F.concat_ws("/", or_dash(F.col("feed")), or_dash(F.sha2("key", 256)))
+    place = F.concat_ws("/", "_name", or_dash(F.col("page")), or_dash(F.col("item")))
+    first = (arts.select(name.alias("_name"), "page", "item", clean_text("text").alias("_clean"))
+             .select("_name", "page", "item", F.array_min(_matched(F.col("_clean"), keywords)).alias("_kw"))
+             .where("_kw is not null")
+             .groupBy("_name").agg(F.min(F.struct("_kw.kw_ord", "page", "item", "_kw.leader")).alias("_b"))
+             .select("_name", "_b.*").select(place.alias("_place"), "kw_ord", "leader"))
+    return (arts.withColumn("_name", name).withColumn("_place", place).drop("_name")
+            .join(first, "_place")
+            .groupBy("_place").agg(F.min("text").alias("text"),
+                                   *(F.first(c).alias(c) for c in ("feed", "key", "kw_ord", "leader", "page", "item")))
+            .select("feed", "key", "kw_ord", "leader", "page", "item", "text"))
+
+
 def recent(df: DataFrame, ts_col: str = "ts", days: int = RECENT_DAYS) -> DataFrame:
     """Rows at most ``days`` days older than the newest row (anchored
     on the data, not on the clock, so the result is reproducible)."""
