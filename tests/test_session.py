@@ -1,3 +1,5 @@
+import pathlib
+
 from pyspark.sql import functions as F
 
 from valence.operators import vocab as V
@@ -42,3 +44,21 @@ def test_stream_state_moves_off_heap_unless_chosen(spark):
             assert spark.conf.get(key) == "some.other.Provider"
     finally:
         spark.conf.set(key, old)
+
+
+def test_stored_rows_take_no_room_in_the_cache_and_less_on_disk(spark, monkeypatch):
+    """Before, tokens and headlines were cached and checkpointed, neither compressed."""
+    import valence.session as session
+    df = spark.range(2000).selectExpr("id", "array_repeat('some word', 200) as tokens", "cast(null as string) as text")
+    paths = []
+    monkeypatch.setattr(session, "scratch_path", lambda s, name, f=session.scratch_path: paths.append(f(s, name)) or paths[-1])
+    stored = session.store(df)
+    assert stored.dtypes == df.dtypes and stored.exceptAll(df).count() == df.exceptAll(stored).count() == 0
+    size = sum(f.stat().st_size for f in pathlib.Path(paths[0].removeprefix("file:")).rglob("*.parquet"))
+    assert 0 < size < 2000 * 200 * 9 / 4
+
+
+def test_publishing_stores_what_the_models_read(spark):
+    from valence.plans.feed_queries import _headline_docs
+    h = spark.createDataFrame([("A", "k", "w", "t")], "feed string, key string, leader string, text string")
+    assert "parquet" in spark._jvm.PythonSQLUtils.explainString(_headline_docs(h)._jdf.queryExecution(), "simple")

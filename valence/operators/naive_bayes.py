@@ -108,7 +108,7 @@ def fit(train_docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
     return NBModel(classes, lik, class_terms, vocab.select("term", "term_id"))
 
 
-def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens", keep=freeze) -> DataFrame:
     """J3 + A11: ``(doc_id, label_c, zero_factors, log_score)`` for the classes
     that can win.
 
@@ -117,11 +117,12 @@ def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFr
     out: their posterior is zero. Two classes stand in for them in every
     document: the best by base score (it wins when no vocabulary word is
     present) and the smallest label (it wins when every posterior is zero).
-    Rows grow with the hits, not with documents x classes."""
+    Rows grow with the hits, not with documents x classes. ``keep`` holds the
+    postings: ``session.freeze`` or ``store``."""
     # read by three branches below; column pruning makes their plans differ,
     # so the exchange would not be reused: compute the postings once
-    tf = freeze(doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
-                                keep=()))
+    tf = keep(doc_term_counts(docs.select("doc_id", tokens_col), model.vocab, tokens_col,
+                              keep=()))
     ct = model.class_terms.select("term_id", "label", "zero0", "log_l0")
     lk = model.likelihood.select("term_id", "tf", "label", "log_l")
     # A: remove the value-0 factor of every present word (classes where it occurs)
@@ -149,10 +150,10 @@ def score(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFr
                     (F.col("log_prior") + F.col("base_log") + F.col("dl")).alias("log_score")))
 
 
-def predict(model: NBModel, docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+def predict(model: NBModel, docs: DataFrame, tokens_col: str = "tokens", keep=freeze) -> DataFrame:
     """M4 + A12: ``(doc_id, [label], prediction DOUBLE, zero_factors, log_score)``
     for the winning class."""
-    scores = score(model, docs, tokens_col)
+    scores = score(model, docs, tokens_col, keep)
     ok = F.col("zero_factors") == 0
     key = F.struct(ok.alias("ok"),
                    F.when(ok, F.round("log_score", 9)).otherwise(F.lit(0.0)).alias("ls"),

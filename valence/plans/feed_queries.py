@@ -16,7 +16,7 @@ from valence.plans import sql as S
 from valence.plans.knn_queries import knn_ctes
 from valence.plans.nb_queries import nb_model, nb_pred_ctes
 from valence.plans.prepare import train_test
-from valence.session import freeze, scratch_path
+from valence.session import freeze, scratch_path, store
 from valence.sources import committed, sinks
 from valence.sources.feeds import articles, parse_payloads, payloads_from_tables
 from valence.sources.tables import table
@@ -62,7 +62,8 @@ def q_keyword_matches(spark, sf):
 
 
 def q_feed_first_n(spark, sf):
-    m = FD.first_n_per_keyword(FD.match_keywords(articles(spark, sf), _kw(spark)))
+    kw = _kw(spark)
+    m = FD.first_n_per_keyword(FD.match_keywords(FD.at_first_places(articles(spark, sf), kw), kw))
     return m.select("feed", "kw_ord", "rank", "key")
 
 
@@ -94,16 +95,16 @@ def q_events_newest_page(spark, sf):
     return p.select("event_type", "page", F.col("rank").cast("int").alias("rank"), "event_id")
 
 
-def _headline_docs(h):
+def _headline_docs(h, keep=store):
     """The headlines as documents, computed once: the models read them several
     times and the records once more. Each takes a number: the models carry the
     id with every word, and a key may be as long as a text."""
-    return freeze(h.select(F.monotonically_increasing_id().alias("doc_id"), "feed", "key", "leader", "text"))
+    return keep(h.select(F.monotonically_increasing_id().alias("doc_id"), "feed", "key", "leader", "text"))
 
 
-def nb_records(model, h):
-    docs = _headline_docs(h)
-    pred = NB.predict(model, docs.select("doc_id", regex_tokens(clean_text("text")).alias("tokens")))
+def nb_records(model, h, keep=store):
+    docs = _headline_docs(h, keep)
+    pred = NB.predict(model, docs.select("doc_id", regex_tokens(clean_text("text")).alias("tokens")), keep=keep)
     return sinks.polarity_records(docs.join(pred, "doc_id"), "nb")
 
 
@@ -112,8 +113,8 @@ def q_publish_nb(spark, sf):
     return nb_records(model, FD.headlines(articles(spark, sf), _kw(spark)))
 
 
-def knn_records(model, h):
-    docs = _headline_docs(h)
+def knn_records(model, h, keep=store):
+    docs = _headline_docs(h, keep)
     pred = K.predict(model, docs.select("doc_id", word_tokens(clean_text("text")).alias("words")))
     return sinks.polarity_records(docs.join(pred, "doc_id"), "knn")
 
@@ -206,12 +207,12 @@ def stream_publish(spark, sf, records):
 
 def q_stream_publish(spark, sf):
     model, _ = nb_model(spark, sf)
-    return stream_publish(spark, sf, lambda b: nb_records(model, b))
+    return stream_publish(spark, sf, lambda b: nb_records(model, b, freeze))
 
 
 def q_stream_publish_knn(spark, sf):
     model = _knn_model(spark, sf)
-    return stream_publish(spark, sf, lambda b: knn_records(model, b))
+    return stream_publish(spark, sf, lambda b: knn_records(model, b, freeze))
 
 
 QUERIES = {

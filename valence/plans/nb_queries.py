@@ -9,14 +9,14 @@ from valence.operators import vocab as V
 from valence.operators.metrics import classification_metrics, confusion_matrix
 from valence.plans import sql as S
 from valence.plans.prepare import train_test
-from valence.session import freeze, scratch_path
+from valence.session import scratch_path, store
 
 
 def nb_model(spark, sf, label="quality"):
     train, test = train_test(spark, sf, label)
     # term counts of the training documents, computed once for the
     # vocabulary and the model tables
-    train_tf = freeze(NB.term_counts(train.select("doc_id", "label", "tokens")))
+    train_tf = store(NB.term_counts(train.select("doc_id", "label", "tokens")))
     vocab = V.count_vectorizer_vocab(train_tf)
     model = NB.fit(train.select("doc_id", "label", "tokens"), vocab, train_tf=train_tf)
     return model, test
@@ -28,7 +28,7 @@ def nb_predictions(spark, sf, label="quality", roundtrip=False):
         path = scratch_path(spark, "nb-model")
         model.save(path)
         model = NB.NBModel.load(spark, path)
-    return NB.predict(model, test.select("doc_id", "label", "tokens"))
+    return NB.predict(model, test.select("doc_id", "label", "tokens"), keep=store)
 
 
 def _pred_out(p):
