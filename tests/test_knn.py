@@ -189,3 +189,60 @@ def test_blocks_grow_with_the_table():
     assert K._block_rows(2800, K.T_BLOCK_ROWS) == K.T_BLOCK_ROWS
     assert all(n / K._block_rows(n, K.Q_BLOCK_ROWS) <= 12 for n in (1000, 20_000, 180_000))
     assert K._block_rows(10**7, K.Q_BLOCK_ROWS) == K.MOST_ROWS
+
+
+def _count_rows(a, name):
+    import pandas as pd
+    return pd.DataFrame({name: np.arange(len(a)), "label": 0, "terms": [np.flatnonzero(r) for r in a],
+                         "counts": [r[r > 0] for r in a], "norm2": (a * a).sum(1)})
+
+
+def test_few_pairs_of_a_block_are_compared_word_by_word(monkeypatch):
+    """Bounds from features and the query's limit leave few exact distances;
+    before, every pair of a block had its product computed in full."""
+    rng = np.random.default_rng(7)
+    theme = rng.integers(0, 40, 1040)
+    x = (rng.random((1040, 600)) < 0.01) * rng.integers(1, 4, (1040, 600))
+    x += (rng.random((1040, 600)) < 0.9) * (np.arange(600)[None] % 40 == theme[:, None]) * 3
+    x[5] = x[1003] = 0                     # rows without words
+    x[7] = x[8] = x[1001]                  # ties
+    q, t = _count_rows(x[1000:], "q_id"), _count_rows(x[:1000], "t_id")
+    want = ((x[1000:, None] - x[None, :1000]) ** 2).sum(2)
+    order = np.argsort(want, axis=1, kind="stable")[:, :6]
+    least = np.take_along_axis(want, order, 1)
+    compared = []
+    d2 = K._Sparse._d2
+    monkeypatch.setattr(K._Sparse, "_d2", lambda self, at, cols: compared.append(len(cols)) or d2(self, at, cols))
+    for few in (K.FEW, 0, 10**9):          # products for a range of queries or for each
+        monkeypatch.setattr(K, "FEW", few)
+        for limit in (None, least[:, -1].astype(float)):
+            compared.clear()
+            got = K._block_topk(q if limit is None else q.assign(_d2=limit), t, 6, "sparse")
+            assert sum(compared) < 0.1 * want.size
+            got = got.sort_values(["q_id", "d2", "t_id"])
+            assert got.t_id.tolist() == order.ravel().tolist() and got.d2.tolist() == least.ravel().tolist()
+    near = K._block_topk(q.assign(_d2=least[:, 2].astype(float)), t, 6, "sparse")
+    assert near.groupby("q_id").d2.max().tolist() == least[:, 2].tolist()
+    assert K._block_topk(q.iloc[:0], t, 6, "sparse").empty
+
+
+def test_large_counts_stay_exact(monkeypatch):
+    """The bounds are of single precision, the distances are not."""
+    monkeypatch.setattr(K, "LIKELY", 1)
+    x = np.array([[10**6 + i * j % 17, 3 * 10**6 + i, j] for i in range(30) for j in range(3)])
+    q, t = _count_rows(x[::9], "q_id"), _count_rows(x, "t_id")
+    want = ((x[::9, None] - x[None]) ** 2).sum(2)
+    order = np.argsort(want, axis=1, kind="stable")[:, :4]
+    least = np.take_along_axis(want, order, 1)
+    for limit in (np.inf, least[:, -1].astype(float)):
+        got = K._block_topk(q.assign(_d2=limit), t, 4, "sparse")
+        assert got.t_id.tolist() == order.ravel().tolist() and got.d2.tolist() == least.ravel().tolist()
+
+
+def test_visits_carry_the_limit_of_the_first_block(spark):
+    rows = [(i, i % 2, ["a"] * (1 + i % 40) + [f"w{i}"]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, label int, words array<string>")
+    model = K.fit(docs)
+    q = K.sparse_vectors(docs.where("doc_id % 9 = 0").select("doc_id", "words"), model.vocab).withColumnRenamed("id", "q_id")
+    visits, *_ = K.route(q, model.vectors, 3, t_block_rows=20)
+    assert visits.where("_d2 is not null").count() == visits.count() > 0
