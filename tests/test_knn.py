@@ -246,3 +246,44 @@ def test_visits_carry_the_limit_of_the_first_block(spark):
     q = K.sparse_vectors(docs.where("doc_id % 9 = 0").select("doc_id", "words"), model.vocab).withColumnRenamed("id", "q_id")
     visits, *_ = K.route(q, model.vectors, 3, t_block_rows=20)
     assert visits.where("_d2 is not null").count() == visits.count() > 0
+
+
+def test_first_block_compares_few_rows_word_by_word(monkeypatch):
+    """Without a limit, the likeliest rows give one and each comparison narrows
+    it for the rows after; before, it was narrowed once. Ties go to the smaller id."""
+    rng = np.random.default_rng(11)
+    x = (rng.random((2060, 400)) < 0.05) * rng.integers(1, 4, (2060, 400)) + rng.integers(0, 60, (2060, 1)) * (np.arange(400) < 4)
+    x[30] = x[900] = x[1999] = x[2010]
+    q, t = _count_rows(x[2000:], "q_id"), _count_rows(x[:2000], "t_id")
+    want = ((x[2000:, None] - x[None, :2000]) ** 2).sum(2)
+    order = np.argsort(want, axis=1, kind="stable")[:, :3]
+    compared = []
+    d2 = K._Sparse._d2
+    monkeypatch.setattr(K._Sparse, "_d2", lambda self, at, cols: compared.append(len(cols)) or d2(self, at, cols))
+    got = K._block_topk(q, t.sample(frac=1, random_state=1), 3, "sparse")
+    assert got.t_id.tolist() == order.ravel().tolist()
+    assert got.d2.tolist() == np.take_along_axis(want, order, 1).ravel().tolist()
+    assert sum(compared) < 0.05 * want.size
+
+
+def test_texts_are_not_cleaned_below_the_join(spark):
+    """An inner explode let Spark clean all texts of the table in a filter
+    before the labels' join, and those of the other split too."""
+    train, _ = train_test(spark, SF_SMALL, "en")
+    tf = K.term_frequencies(train, "words")
+    plan = spark._jvm.PythonSQLUtils.explainString(tf._jdf.queryExecution(), "simple")
+    assert plan.count("regexp_replace(regexp_replace") == 1
+
+
+def test_term_frequencies_of_null_and_empty_tokens(spark):
+    docs = spark.createDataFrame([(1, ["a", None, "a"]), (2, []), (3, None), (None, ["b"])], "doc_id long, tokens array<string>")
+    got = {tuple(r) for r in K.term_frequencies(docs).collect()}
+    assert got == {(1, "a", 2), (1, None, 1), (None, "b", 1)}
+
+
+def test_unknown_words_are_pooled_and_copies_of_an_id_counted_together(spark):
+    vocab = spark.createDataFrame([("<unknown>", 0), ("a", 1), ("b", 2)], "term string, term_id int")
+    docs = spark.createDataFrame([(1, ["b", "a", "x", "y", "x"]), (2, ["x"]), (3, []), (4, ["b"]), (4, ["b", "a"])],
+                                 "doc_id long, words array<string>")
+    got = sorted((r.id, r.terms, r.counts, r.norm2) for r in K.sparse_vectors(docs, vocab).collect())
+    assert got == [(1, [0, 1, 2], [3, 1, 1], 11), (2, [0], [1], 1), (3, [], [], 0)] + [(4, [1, 2], [1, 2], 5)] * 2
