@@ -136,3 +136,39 @@ def test_walks_of_long_items_stay_short():
     assert all(c.high <= 2 * D.PIECE for c in model.classes)
     found = D.find([(prose(rng, 40) + " " + item + " " + prose(rng, 20)).encode(), prose(rng, 4_000).encode()], model)
     assert [set(x) for x in found] == [{0}, set()] and found[0][0][0] == 0
+
+
+def test_no_copy_within_the_distance_is_left_out():
+    """Edits spread so that no 12 characters in a row stay, and edits at random."""
+    import numpy as np
+
+    rng = random.Random(10)
+    items = [(i, (unspaced(rng, n) if i % 5 == 4 else prose(rng, n)[:n - 1] + "x").encode())
+             for i, n in enumerate([24, 29, 30, 47, 60, 81, 100, 175, 260, 400, 900] * 5)]
+    model = D.build(items)
+    tried = 0
+    for k, (i, t) in enumerate(items):
+        u, most = D.units(t.decode()), int(0.1 * len(t.decode()))
+        spread = u.copy()
+        spread[[(2 * j + 1) * len(u) // (2 * most) for j in range(most)]] = ord("#")
+        for near in (spread, D._edited(u, most, np.random.default_rng(k))):
+            text = prose(rng, rng.randint(0, 60)) + " " + near.tobytes().decode("utf-16-le") + " " + prose(rng, rng.randint(0, 60))
+            if D.search(t.decode(), D.normalise(text.encode()), most):
+                got = D.find([text.encode()], model)[0]
+                assert set(got) == {k}, (len(t), set(got))
+                tried += 1
+    assert tried > 1.8 * len(items)
+
+
+def test_characters_of_two_units_and_long_texts(monkeypatch):
+    monkeypatch.setattr(D, "STRETCH", 64)
+    rng = random.Random(11)
+    items = [(i, ("".join(chr(0x1F600 + rng.randint(0, 60)) + rng.choice("abcdef") * (i % 3) for _ in range(30))).encode()) for i in range(6)]
+    model = D.build(items)
+    for k, (_, t) in enumerate(items):
+        s = list(t.decode())
+        most = int(0.1 * len(s))
+        for j in range(most):
+            s[(2 * j + 1) * len(s) // (2 * most)] = "\U0001F680"
+        got = D.find([(prose(rng, 300) + " " + "".join(s) + " " + prose(rng, 90)).encode()], model)[0]
+        assert set(got) == {k} and got[k][0] <= most
