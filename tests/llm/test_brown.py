@@ -115,3 +115,41 @@ def test_each_word_is_placed_where_it_adds_most():
             t[:, c] += before
             found.append(likelihood(t, np.arange(4)))
         assert found[got[w]] >= max(found) - 1e-9
+
+
+def test_every_frequent_word_has_a_class_of_its_own_choice(spark, monkeypatch):
+    """No number of words is the limit, neither that of one table nor that of the head."""
+    monkeypatch.setattr(B, "PLACED", 300)
+    monkeypatch.setattr(B, "HEAD", 1500)
+    monkeypatch.setattr(B, "HELD_PLACES", 1000)
+    rng = random.Random(6)
+    pick = lambda kind: "%s%dx%d" % (kind, (n := rng.randrange(1200)), n % 7)
+    train = [(i, " ".join(pick("pq"[j % 2]) for j in range(400))) for i in range(120)]
+    t = docs(spark, train)
+    counts = B.word_counts(t)
+    got, model = B.brown_scores(t, t)
+    n = {bytes(r.word): r.n for r in counts.collect()}
+    frequent = [w for w in n if w != B.END and n[w] >= B.PLACED_LEAST]
+    beyond = [w for w in frequent if w not in model.head]
+    units = dict(zip(beyond, model.rare.find(beyond))) | {w: model.head_unit[i] for w, i in model.head.items()}
+    assert len(beyond) > 500 and len({units[w] for w in frequent}) == len(frequent)
+    assert len(model.of) == B.UNITS + len(frequent) - B.CORE
+    # by formula, with these units
+    total, types = sum(n.values()), len(n)
+    want = {}
+    for i, text in train:
+        ws = B.words(text.encode()) + [B.END]
+        cls = [int(model.of[units[w]]) if w in units else int(model.of[B.form(w)]) for w in ws[:-1]] + [int(model.of[0])]
+        want[i] = sum(math.log10(n[w] + 0.5) + model.step[p, k] for w, p, k in zip(ws, [int(model.of[0]), *cls], cls))
+    assert all(abs(r.score - want[r.doc_id]) < 1e-6 for r in got.collect())
+    mass = sum((n[w] + 0.5) * 10 ** model.step[:, model.of[0 if w == B.END else units.get(w, B.form(w))]] for w in n)
+    assert np.allclose(mass + 10 ** model.unknown, 1)
+    # the choice is that of one word after the other
+    rng = np.random.default_rng(9)
+    beside, table = rng.poisson(2.0, (300, 2, 5)).astype(float), rng.poisson(900.0, (5, 5)).astype(float)
+    start = rng.integers(0, 5, 300)
+    for w, b in enumerate(B.place_words(table, beside, start)):
+        rest, a = table.copy(), start[w]
+        rest[a] -= beside[w, 0]
+        rest[:, a] -= beside[w, 1]
+        assert b == B.best_class(rest, *beside[w], 0.0, a)
