@@ -73,3 +73,21 @@ def test_first_headlines_for_any_order_of_files_and_a_restart(spark):
         got = [tuple(r) for r in ingest.read_headlines(spark, f"{root}/out").select(
             "feed", "key", "kw_ord", "page", "item", "leader").collect()]
         assert set(got) == want and len(got) == len(want)
+
+
+def test_long_keys_are_held_once_and_keep_articles_apart(spark):
+    """Before, each word of an article carried its key."""
+    path = scratch_path(spark, "index")
+    data = [("A", "k" * 50_000 + str(i), 0, i % 3, " ".join(["alpha"] + [f"w{j}" for j in range(500)])) for i in range(6)]
+    data += [("A", None, 0, 0, "alpha"), (None, "A", 0, 0, "alpha"), ("B", None, None, None, "of the"), ("B", "", None, None, "of the")]
+    for i, part in enumerate((data[:5], data[5:] + data[:2])):
+        SI.add_segment(spark.createDataFrame(part, SCHEMA), path, f"s{i}", buckets=4)
+    want = {(*r[:4], k, w) for r in data for k, w in enumerate(("alpha", "of the")) if phrase(r[4], w)}
+    assert "key" not in SI.read(spark, path).columns
+    for _ in range(2):
+        got = [tuple(r) for r in SI.search(spark, path, ["alpha", "of the"]).collect()]
+        assert len(got) == len(want) == 10 and set(got) == want
+        SI.merge(spark, path)
+        SI.vacuum(spark, path)
+    assert SI.read(spark, path).groupBy("term", *SI.PLACE).count().where("count > 1").count() == 0
+    assert SI.articles(spark, path).count() == 10

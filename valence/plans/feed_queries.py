@@ -167,7 +167,8 @@ def q_stream_dedup_events(spark, sf):
 
 def _article_files(spark, sf, root):
     src = os.path.join(root, "articles")
-    articles(spark, sf).select("feed", "key", "page", "item", "text").write.option("maxRecordsPerFile", FILE_RECORDS).json(src)
+    (articles(spark, sf).select("feed", "key", "page", "item", "text")
+     .write.option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").json(src))
     return src
 
 
